@@ -29,9 +29,10 @@ def key_of(value: str) -> str:
     return "".join(ch for ch in s if ch.isalnum())
 
 
-def reach(n: int) -> int:
-    """Edits allowed for an alias of n characters."""
-    return 0 if n <= 3 else 1 if n <= 5 else 2 if n <= 11 else 3
+def reach(alias: str) -> int:
+    """Edits allowed for an alias, by its length. A number, which must be right, makes up for a short word."""
+    n = len(alias)
+    return 0 if n <= 3 else 2 if n == 5 and any(map(str.isdigit, alias)) else 1 if n <= 5 else 2 if n <= 11 else 3
 
 
 def step_cost(a: str, b: str) -> int:
@@ -122,7 +123,7 @@ class Lexicon:
         """(distance, entry) of every entry within reach of key, nearest first."""
         best: dict[int, int] = {}
         for alias, entry_id in self.near.get(field, ()):
-            limit = reach(len(alias))
+            limit = reach(alias)
             d = distance(key, alias, limit)
             if d <= limit and d < best.get(entry_id, INF):
                 best[entry_id] = d

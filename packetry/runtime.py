@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +71,19 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     mine = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if not left.schema[c].dataType.simpleString().startswith("map")]), F.lit(salts)).cast("int"))
     return mine.join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers of any cluster: Spark's own file server hands out its source once per context."""
+    sc = spark.sparkContext
+    if any(name.startswith("packetry-src") for name in map(os.path.basename, getattr(sc, "_python_includes", []))):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="packetry-"), "packetry-src.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("packetry", os.path.relpath(full, root)))
+    sc.addPyFile(path)
