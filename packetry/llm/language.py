@@ -103,11 +103,13 @@ class Centroids:
 
     def many(self, texts: list[str | None]) -> list[list[tuple[int, str, float]]]:
         lines: list[str] = []
-        spans: list[tuple[int, int, np.ndarray]] = []
+        spans: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         for text in texts:
             own = [x for x in (text or "").split("\n") if x.strip()]
-            words = np.array([len(_WORD.findall(_IDS.sub(" ", x))) for x in own], dtype=np.int64)
-            spans.append((len(lines), len(lines) + len(own), words))
+            found = [_WORD.findall(_IDS.sub(" ", x)) for x in own]
+            words = np.array([len(f) for f in found], dtype=np.int64)
+            plain = np.array([len(f) if x.isupper() else sum(w[0].islower() for w in f) for x, f in zip(own, found)], dtype=np.int64)
+            spans.append((len(lines), len(lines) + len(own), words, plain))
             lines += map(_clean, own)
         scores = np.zeros((len(lines), len(self.names)), dtype=np.float32)
         at = 0
@@ -118,15 +120,16 @@ class Centroids:
                 to += 1
             scores[at:to] = self.cosines(lines[at:to])
             at = to
-        return [self._judge(scores[a:b], words) for a, b, words in spans]
+        return [self._judge(scores[a:b], words, plain) for a, b, words, plain in spans]
 
-    def _judge(self, s: np.ndarray, words: np.ndarray, least_words: int = 4, margin: float = 0.04) -> list[tuple[int, str, float]]:
+    def _judge(self, s: np.ndarray, words: np.ndarray, plain: np.ndarray, least_words: int = 3, margin: float = 0.04) -> list[tuple[int, str, float]]:
+        """plain counts the words of each line that are not names (all words of a line in capitals)."""
         if not words.sum():
             return []
         order = np.argsort(-s, axis=1)
         every = np.arange(len(s))
         top, second = s[every, order[:, 0]], s[every, order[:, 1]] if s.shape[1] > 1 else np.zeros(len(s))
-        sure = (words >= least_words) & (top >= self.far)
+        sure = (plain >= least_words) & (top >= self.far)
         whole = (s * words[:, None]).sum(axis=0) / words.sum()
         main = int(whole.argmax())
         other = sure & (order[:, 0] != main) & (top - s[:, main] >= margin)
@@ -134,7 +137,7 @@ class Centroids:
         if not other.any():
             rest = np.delete(whole, main)
             return [(0, self.names[main], share(whole[main], rest.max() if len(rest) else 0.0))]
-        firm = (words >= least_words) & (top >= self.far)
+        firm = (plain >= least_words) & (top >= self.far)
         here = sorted({int(x) for x in order[firm, 0]} | {main})  # the languages of the text, which its short lines choose from
         picks = np.where(firm, order[:, 0], -1)
         i = 0
