@@ -18,9 +18,14 @@ _MARKS = r"^[\s?\-–—.*_#]*$"
 NO_FLAG = ("none", "no flags", "no flag", "nil", "n/a", "na", "null", "-", "--", "", "?", "???", "(blank)", "not given", "unknown")
 
 
+def strip(c: Column) -> Column:
+    """Blanks, tabs, breaks and no-break spaces off both ends."""
+    return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
 def absent(c: Column) -> Column:
     """True where the cell carries no value of its field, in whatever writing (null included)."""
-    t = F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    t = F.lower(strip(c))
     return F.coalesce(t.rlike(_MARKS) | t.isin(*ABSENT_WORDS) | t.rlike(r"^\[") | t.rlike(r"\]$") | t.rlike(DAMAGE), F.lit(True))
 
 

@@ -71,15 +71,26 @@ def placeholder(c: Column) -> Column:
     return F.coalesce(t.isin(*PLACEHOLDERS) | t.startswith("packet ") | t.startswith("synthetic hiring") | t.contains("sample denial"), F.lit(False))
 
 
+def _within(token: str, cap: int):
+    """Test of a string against token within cap edits; one of cap + 1 pieces must be in it unharmed, which is checked first."""
+    at = [len(token) * i // (cap + 1) for i in range(cap + 2)]
+    pieces = "|".join(token[a:b] for a, b in zip(at, at[1:]))
+    return lambda w: w.rlike(pieces) & (F.levenshtein(w, F.lit(token), cap) >= 0)
+
+
 def note_like(c: Column) -> Column:
     """A text that carries a note's label, or a window of its length within 30 percent of edits (first 2000 letters, as defined)."""
-    k = F.substring(canon(c), 1, 2000)
-    out = F.lit(False)
-    for token in NOTE_LABELS:
-        n, cap = len(token), max(1, int(0.3 * len(token)))
-        windows = F.sequence(F.lit(1), F.greatest(F.length(k) - n + 1, F.lit(1)))
-        out = out | k.contains(token) | ((F.length(k) >= n) & F.exists(windows, lambda i: F.levenshtein(F.substr(k, i, F.lit(n)), F.lit(token), cap) >= 0))
-    return F.coalesce(out, F.lit(False))
+
+    def judge(k: Column) -> Column:
+        out = F.lit(False)
+        for token in NOTE_LABELS:
+            n, cap = len(token), max(1, int(0.3 * len(token)))
+            windows = F.transform(F.sequence(F.lit(1), F.greatest(F.length(k) - n + 1, F.lit(1))), lambda i: F.substr(k, i, F.lit(n)))
+            out = out | k.contains(token) | ((F.length(k) >= n) & F.exists(windows, _within(token, cap)))
+        return out
+
+    # A bound variable, so that the letters are taken out once per text and not once per window.
+    return F.coalesce(F.exists(F.array(F.substring(canon(c), 1, 2000)), judge), F.lit(False))
 
 
 def slip_anchor(c: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetry.functions.extract import pale
+from packetry.functions.text import strip
 
 # Patterns of printed matter and of embedded instructions.
 FOOTER = r"(?i)^packet\s+\S+\s*/\s*page\s*[0-9]"
@@ -91,9 +92,9 @@ def active_pages(lines: DataFrame, id_pattern: str = r"MIB-[0-9]{4,}") -> DataFr
     """Pages whose first id is the packet's or absent; all pages of a packet where none is."""
     found = F.nullif(F.regexp_extract("text", id_pattern, 0), F.lit(""))
     first = lines.groupBy("packet", "page").agg(F.min_by(found, F.when(found.isNotNull(), F.col("line_no"))).alias("id"))
-    match = F.col("id").isNull() | (F.col("id") == F.col("packet"))
-    some = first.groupBy("packet").agg(F.max(match).alias("some"))
-    return first.join(some, first["packet"].eqNullSafe(some["packet"])).where(match | ~F.col("some")).select(first["packet"], "page", "id")
+    first = first.withColumn("match", F.coalesce(F.col("id").isNull() | (F.col("id") == F.col("packet")), F.lit(False)))
+    some = first.groupBy(F.col("packet").alias("of")).agg(F.max("match").alias("some"))
+    return first.join(some, F.col("packet").eqNullSafe(F.col("of"))).where(F.col("match") | ~F.col("some")).select("packet", "page", "id")
 
 
 def scan_gate(pages: DataFrame, lines: DataFrame, least_chars: int = 40) -> DataFrame:
@@ -106,7 +107,7 @@ def scan_gate(pages: DataFrame, lines: DataFrame, least_chars: int = 40) -> Data
 def inline_fields(lines: DataFrame) -> DataFrame:
     """(packet, page, label, value) of "label: value" lines; the last of equal labels on a page holds."""
     at = F.locate(":", "text")
-    rows = lines.where(at > 1).select("packet", "page", "line_no", F.trim(F.substr("text", F.lit(1), at - 1)).alias("label"), F.trim(F.substr("text", at + 1)).alias("value"))
+    rows = lines.where(at > 1).select("packet", "page", "line_no", strip(F.substr("text", F.lit(1), at - 1)).alias("label"), strip(F.substr("text", at + 1)).alias("value"))
     return rows.where("value <> ''").groupBy("packet", "page", "label").agg(F.max_by("value", "line_no").alias("value"))
 
 

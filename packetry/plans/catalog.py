@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from packetry.plans import problems
+from packetry.plans import evaluation, evidence, problems, textual
 
-MODULES = (problems,)
+MODULES = (problems, textual, evidence, evaluation)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
