@@ -162,7 +162,9 @@ class Centroids:
 
 
 def fit(rows: list[tuple[str, str]], centroids: int = 3, rounds: int = 6, seed: int = 7) -> Centroids:
-    """Fit on (language, text) pairs."""
+    """Fit on (language, text) pairs; without any pair every text with words is taken for the first of NAMES."""
+    if not rows:
+        return Centroids(np.ones(SLOTS, np.float32), np.zeros((SLOTS, 1), np.float32), NAMES[:1], 0.0)
     rows = sorted(rows)
     texts, langs = [_clean(t.replace("\n", " ")) for _, t in rows], np.array([x for x, _ in rows])
     row, slot, w = vectors(texts)
