@@ -138,6 +138,8 @@ def fill(cells: DataFrame, varying: tuple[str, ...], parents: bool = False, k: i
         return filled.select("row_id", "field", "entry", "method")
     filled = cut(filled)
     fields = sorted(r["field"] for r in cells.select("field").distinct().limit(64).collect())
+    if not fields:
+        return filled.select("row_id", "field", "entry", "method")
     wide = group_modes(cells).groupBy("grp").pivot("field", fields).agg(F.first("entry"))
     times = cells.groupBy("grp").agg((F.percentile_approx("t", 0.5, 200) / F.lit(86_400.0 * 365)).alias("t"))
     clusters, protos = parent_prototypes(cut(times.join(wide, "grp", "left")), k)

@@ -143,7 +143,7 @@ class Segmenter:
         while len(s) > 1 and (s[0], s[-1]) in (('"', '"'), ("'", "'"), ("[", "]"), ("{", "}"), ("(", ")")):
             inner = s[1:-1]
             s = (inner.replace('""', '"') if s[0] == '"' else inner).strip()
-        return s if s not in ('"', "'") else ""
+        return "" if s in ('"', "'", "(", ")") else s
 
 
 def items_udf(values: Iterable[str]):

@@ -73,8 +73,8 @@ def p_unarchived(spark, d) -> DataFrame:
 
 
 @query(f"""WITH {_L}, f AS (SELECT packet, page, arg_min(nullif(regexp_extract(text, 'MIB-[0-9]{{4,}}', 0), ''), line_no) AS id FROM l GROUP BY 1, 2),
-m AS (SELECT *, (id IS NULL OR id = packet) AS hit FROM f), s AS (SELECT packet, bool_or(hit) AS some FROM m GROUP BY 1)
-SELECT m.packet, page, id FROM m JOIN s ON m.packet IS NOT DISTINCT FROM s.packet WHERE hit OR NOT some""")
+m AS (SELECT *, (id IS NULL OR id = packet) AS hit FROM f), s AS (SELECT packet, bool_or(hit) AS any_hit FROM m GROUP BY 1)
+SELECT m.packet, page, id FROM m JOIN s ON m.packet IS NOT DISTINCT FROM s.packet WHERE hit OR NOT any_hit""")
 def p_active_pages(spark, d) -> DataFrame:
     return lines.active_pages(_lines(spark, d))
 
