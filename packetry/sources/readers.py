@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from packetry.functions.text import strip
 from packetry.operators.rejects import FIELDS
 
 # Keys under which a JSON container may hold its rows, and suffixes of model files.
@@ -62,7 +63,7 @@ def checkpoint_rows(spark: SparkSession, path: str, schema: T.StructType | str,
 
 def json_container(spark: SparkSession, path: str, key: str = "case_id") -> DataFrame:
     """(row map<string,string>) of a JSON file that is a list, an object with a list, one row, or a map from key to row."""
-    raw = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
+    raw = spark.read.text(path, wholetext=True).select(strip(F.col("value")).alias("v"))
     rows = "array<map<string,string>>"
     lists = [F.from_json("v", rows), *[F.from_json(F.get_json_object("v", f"$.{k}"), rows) for k in CONTAINER_KEYS]]
     one = F.when(F.get_json_object("v", f"$.{key}").isNotNull(), F.array(F.from_json("v", "map<string,string>")))
