@@ -168,4 +168,5 @@ def record_cells(records: DataFrame, lexicon_rows: list[tuple], fields: tuple[st
         no_fee.alias("m_fee_status"),
     )
     names = [*fields, "fee_status"]
+    wide = cut(wide)  # read by every step of the fill; values are resolved once
     return wide.select("row_id", "grp", "t", F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"e_{f}").alias("entry"), F.col(f"m_{f}").alias("missing")) for f in names])))
