@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetry.functions.text import valid_iso_date, well_formed_sponsor
+from packetry.runtime import cut
 
 FIELDS = ("sponsor_id", "sponsor_letter_id", "arrival_date")
 #: Rank of a claim without known source; a real rank is far smaller.
@@ -65,7 +66,7 @@ def claims(rows: DataFrame, sources: list[str]) -> DataFrame:
     rows = rows.withColumn("bit", bit)
     order = F.struct((-F.col("rank")).alias("trust"), F.coalesce(F.unix_micros(F.col("read_at").cast("timestamp")), F.lit(-(1 << 60))).alias("at"))
     made = rows.groupBy("case_id", "field", "value").agg(F.bit_or("bit").alias("said"), F.max(order).alias("best"))
-    cover = made.groupBy("case_id", "field").agg(F.bit_or("said").alias("cover"))
+    cover = rows.groupBy("case_id", "field").agg(F.bit_or("bit").alias("cover"))
     return made.join(cover, ["case_id", "field"])
 
 
@@ -100,7 +101,7 @@ def judged(records: DataFrame, trust: DataFrame) -> tuple[DataFrame, dict[str, t
     names = sorted(r["source_name"] for r in trust.where("source_name is not null and trust_rank is not null").select("source_name").distinct().limit(MAX_SOURCES + 1).collect())
     if len(names) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    made = claims(evidence(records, trust), names)
+    made = cut(claims(evidence(records, trust), names))  # read for the patterns and again for the choice
     patterns = [(r["said"], r["cover"], r["n"]) for r in made.groupBy("said", "cover").agg(F.count("*").alias("n")).collect()]  # at most 3**sources rows
     post, quality = infer(sorted(patterns), len(names))
     table = records.sparkSession.createDataFrame([(s, v, p) for (s, v), p in sorted(post.items())], "said int, cover int, posterior double")
