@@ -32,7 +32,7 @@ LANGUAGES = {
 }
 NAMES = sorted(LANGUAGES)
 #: Features are n-grams of these lengths hashed into so many slots.
-GRAMS, SLOTS = (1, 2, 3), 1 << 14
+GRAMS, SLOTS = (2, 3), 1 << 13
 #: Largest block of characters worked on at once.
 BLOCK = 400_000
 
@@ -197,7 +197,7 @@ def fit(rows: list[tuple[str, str]], centroids: int = 3, rounds: int = 6, seed:
     return Centroids(idf, np.ascontiguousarray(full.T.astype(np.float32)), owner or ["en"], float(best.min()) * 0.25)
 
 
-def training_rows(documents: DataFrame, sample: int = 400, seed: int = 42) -> list[tuple[str, str]]:
+def training_rows(documents: DataFrame, sample: int = 300, seed: int = 42) -> list[tuple[str, str]]:
     """At most about sample labelled documents per language, picked by the hash of their id; texts are whole."""
     labelled = documents.select("doc_id", "text", label_language(F.col("lang")).alias("l")).where("l is not null and text is not null and length(text) > 40")
     counts = {r["l"]: r["n"] for r in labelled.groupBy("l").agg(F.count("*").alias("n")).collect()}
@@ -208,7 +208,7 @@ def training_rows(documents: DataFrame, sample: int = 400, seed: int = 42) -> li
     return [(r["l"], r["text"]) for r in labelled.where(pick).select("l", "text").limit(2 * sample * len(LANGUAGES)).collect()]
 
 
-def segments(documents: DataFrame, sample: int = 400) -> DataFrame:
+def segments(documents: DataFrame, sample: int = 300) -> DataFrame:
     """(doc_id, label, segment_no, lang, confidence): segment 0 for a text in one language, else one row per line that is not blank."""
     model = fit(training_rows(documents, sample))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # SLOTS x (languages x centroids) numbers
@@ -225,6 +225,6 @@ def segments(documents: DataFrame, sample: int = 400) -> DataFrame:
     return documents.select("doc_id", label_language(F.col("lang")).alias("label"), "text").mapInPandas(run, "doc_id bigint, label string, segment_no int, lang string, confidence double")
 
 
-def found(documents: DataFrame, sample: int = 400) -> DataFrame:
+def found(documents: DataFrame, sample: int = 300) -> DataFrame:
     """(doc_id, segment_no, lang) of texts whose label is absent or wrong, and of every line of texts in several languages."""
     return segments(documents, sample).where("segment_no > 0 or label is null or label <> lang").select("doc_id", "segment_no", "lang")
