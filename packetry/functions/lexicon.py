@@ -14,7 +14,7 @@ INF = 99
 #: A vocabulary is a bounded list kept on the driver; a larger one is refused rather than collected.
 MAX_ENTRIES = 5000
 
-_LEAD = re.compile(r"^(?:~+|(?:poss|prob|maybe|approx)\b\.?|class\b)\s*")
+_LEAD = re.compile(r"^(?:~+|(?:poss|prob|maybe|approx)(?:\.\s*|\s+)|class\s+)\s*")
 _TAIL = re.compile(r"(?:\s*\((?:confirmed|renewal|again|est|sic|noted)\)|,?\s+noted|\s+visa|[\s?*.]+)$")
 
 
@@ -32,7 +32,7 @@ def key_of(value: str) -> str:
 def reach(alias: str) -> int:
     """Edits allowed for an alias, by its length. A number, which must be right, makes up for a short word."""
     n = len(alias)
-    return 0 if n <= 3 else 2 if n == 5 and any(map(str.isdigit, alias)) else 1 if n <= 5 else 2 if n <= 11 else 3
+    return 0 if n <= 3 else 2 if n == 5 and any(map(str.isdigit, alias)) else 1 if n <= 5 else 2 if n <= 9 else 3 if n <= 17 else 4
 
 
 def step_cost(a: str, b: str) -> int:
