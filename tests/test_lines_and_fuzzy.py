@@ -151,3 +151,32 @@ def test_perfect_and_missing_predictions(spark):
 def test_queries_run(spark, name):
     assert evidence.QUERIES[name](spark, DATA).count() > 0
     assert table(spark, DATA, "records").count() > 0
+
+
+def test_mutations(spark):
+    from packetry.operators import mutations
+
+    df = make_lines(spark, [("A", 1, ["Packet A / page 1", "x"]), ("A", 2, ["y"])])
+    assert got(mutations.injected(df, "new"), "page", "line_no", "text")[-1] == (2, 2, "new") and mutations.injected(df, "new").count() == 5
+    assert got(mutations.footers_reworded(df, "F"), "text") == [("F",), ("x",), ("y",)]
+    assert got(mutations.replaced(df, "x", "z", F.col("page") == 1), "text")[-1] == ("z",)
+    diff = mutations.differences(df.where("line_no = 1"), mutations.replaced(df, "y", "q").where("line_no = 1"), "page", ["text", "packet"]).collect()
+    assert [(r.page, list(r["diff"])) for r in diff] == [(2, ["text"])]
+
+
+def test_sql_functions_and_line_splitter(spark):
+    from packetry.functions.register import register
+
+    register(spark)
+    r = spark.sql("SELECT canon('A-b 1') c, ocr_fold('c0rn5') o, visa_normalize('kx.1') v, capped_distance('abc', 'xyz', 2) d, is_sponsor_id(NULL) s, is_iso_date('2026-02-30') i").first()
+    assert tuple(r) == ("ab1", "coms", "KX-1", 3, False, False)
+    rows = spark.sql("SELECT t.id, l.line_no, l.text FROM VALUES (1, 'a\nb'), (2, CAST(NULL AS STRING)) t(id, s), LATERAL split_lines(t.s) l").collect()
+    assert [tuple(x) for x in rows] == [(1, 1, "a"), (1, 2, "b")]
+
+
+def test_consolidated_records(spark):
+    from packetry.plans import records as plans
+
+    out = plans.e_consolidated(spark, DATA)
+    assert out.count() == table(spark, DATA, "records").select("case_id").distinct().count()
+    assert out.where(~F.col("sponsor_id").rlike("^SPN-[0-9]{4,}$") | ~F.col("arrival_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")).count() == 0
