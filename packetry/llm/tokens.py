@@ -77,6 +77,18 @@ class Transducer:
             known = self.pairs[a, b] = a + b not in self.ranks and self.merge(a + b) == [a, b]
         return known
 
+    def _add(self, key: tuple[bytes, int, tuple[bytes, ...]]) -> int:
+        """Number of a new state; a word that ends in it still owes the tokens of its pending bytes."""
+        to = self.ids[key] = len(self.states)
+        self.states.append(key)
+        self.step.append({})
+        tail, p = [], len(key[0])
+        while p > 0:
+            tail.append(self.ranks[key[2][p - 1]])
+            p -= len(key[2][p - 1])
+        self.flush.append(tuple(reversed(tail)))
+        return to
+
     def _next(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Make the transition of a state on a byte."""
         pending, grow, ends = self.states[state]
@@ -111,14 +123,7 @@ class Transducer:
         if to is None:
             if len(self.states) >= MAX_STATES:
                 return -1, ()
-            to = self.ids[key] = len(self.states)
-            self.states.append(key)
-            self.step.append({})
-            tail, p = [], len(key[0])
-            while p > 0:
-                tail.append(self.ranks[key[2][p - 1]])
-                p -= len(key[2][p - 1])
-            self.flush.append(tuple(reversed(tail)))
+            to = self._add(key)
         made = self.step[state][byte] = (to, tuple(reversed(out)))
         return made
 
@@ -133,11 +138,7 @@ class Transducer:
                 if move[0] < 0:  # the table is full: carry the current state into an empty one
                     held = self.states[state]
                     self._reset()
-                    state = self.ids[held] = len(self.states) if held != self.states[0] else 0
-                    if state:
-                        self.states.append(held)
-                        self.step.append({})
-                        self.flush.append(())
+                    state = self._add(held) if held != self.states[0] else 0
                     move = self._next(state, byte)
             state = move[0]
             if move[1]:

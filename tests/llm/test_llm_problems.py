@@ -42,6 +42,14 @@ def test_encoding_of_one_endless_word_and_of_full_tables(both, monkeypatch):
     assert len(machine.encode("a" * 300_000)) == 300_000 // 4
 
 
+def test_encoding_of_many_short_words_with_full_tables(both, monkeypatch):
+    machine, brute = both
+    monkeypatch.setattr(tokens, "MAX_STATES", 40)
+    small, rng = tokens.Transducer(machine.ranks), random.Random(3)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6))) for _ in range(4000)]
+    assert [w for w in words if small.encode(w) != brute.encode_ordinary(w)] == []
+
+
 def test_stream_decoding(both):
     machine, _ = both
     text = "naïve — Дело 🛸 日本 <|endoftext|>"
