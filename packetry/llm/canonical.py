@@ -86,6 +86,17 @@ def match_udf(lexicon_rows: list[tuple], field: str):
     return entry
 
 
+def _odd_items(matcher: Matcher, cutter: Segmenter, cell: str) -> list[tuple[str, int]]:
+    """(item, entry) of the items of a flag cell that are not written canonically and hold a value."""
+    names = matcher.canonical.get(FLAGS, {})
+    items = [i for i in cutter.split(cell) if i not in names and fold(i) not in NO_FLAG]
+    return [(i, e) for i in items if (e := matcher.resolve(FLAGS, i)) is not None]
+
+
+def _flags_box(lexicon_rows: list[tuple]) -> tuple[Matcher, Segmenter]:
+    return Matcher(lexicon_rows), Segmenter(known_values([r for r in lexicon_rows if r[1] == FLAGS]))
+
+
 def flags_udf(lexicon_rows: list[tuple]):
     """Arrow UDF from a flag cell to the entries of those items that are not written canonically."""
     box: list = []
@@ -93,13 +104,10 @@ def flags_udf(lexicon_rows: list[tuple]):
     @F.pandas_udf("array<int>")
     def entries(cells: pd.Series) -> pd.Series:
         if not box:
-            box.append((Matcher(lexicon_rows), Segmenter(known_values([r for r in lexicon_rows if r[1] == FLAGS]))))
-        matcher, cutter = box[0]
-        names = matcher.canonical.get(FLAGS, {})
+            box.append(_flags_box(lexicon_rows))
 
         def of(cell: str) -> list[int]:
-            items = [i for i in cutter.split(cell) if i not in names and fold(i) not in NO_FLAG]
-            return sorted({e for i in items if (e := matcher.resolve(FLAGS, i)) is not None})
+            return sorted({e for _, e in _odd_items(*box[0], cell)})
 
         codes, distinct = pd.factorize(cells)
         found = [of(v) for v in distinct]
@@ -108,11 +116,32 @@ def flags_udf(lexicon_rows: list[tuple]):
     return entries
 
 
+def lost_items_udf(lexicon_rows: list[tuple]):
+    """Arrow UDF from a flag cell to its distinct items that mean no entry, as written."""
+    box: list = []
+
+    @F.pandas_udf("array<string>")
+    def lost(cells: pd.Series) -> pd.Series:
+        if not box:
+            box.append(_flags_box(lexicon_rows))
+        codes, distinct = pd.factorize(cells)
+        found = [sorted({i for i, e in _odd_items(*box[0], v) if e == 0}) for v in distinct]
+        return pd.Series([found[c] if c >= 0 else [] for c in codes])
+
+    return lost
+
+
 def _canonical(c: Column, lexicon_rows: list[tuple], field: str) -> Column:
     names = [canonical for _, f, canonical, *_ in lexicon_rows if f == field]
     return F.coalesce(c.isin(*names), F.lit(False)) if names else F.lit(False)
 
 
+def _flag_cell(lexicon_rows: list[tuple]) -> Column:
+    """A flag cell that is not one canonical flag and names some flag, else null."""
+    c = F.col(FLAGS)
+    return F.when(~_canonical(c, lexicon_rows, FLAGS) & ~F.lower(F.trim(c)).isin(*NO_FLAG), c)
+
+
 def mapped(records: DataFrame, lexicon_rows: list[tuple]) -> DataFrame:
     """Distinct (record_id, field_name, entry_id) of the values that are not written exactly as canonical; 0 means no entry.
 
@@ -123,15 +152,14 @@ def mapped(records: DataFrame, lexicon_rows: list[tuple]) -> DataFrame:
         c = F.col(f"`{f}`")
         e = match_udf(lexicon_rows, f)(F.when(~_canonical(c, lexicon_rows, f) & ~absent(c), c))
         arrays.append(F.when(e.isNotNull(), F.array(F.struct(F.lit(f).alias("field_name"), e.cast("bigint").alias("entry_id")))))
-    c = F.col(FLAGS)
-    e = flags_udf(lexicon_rows)(F.when(~_canonical(c, lexicon_rows, FLAGS) & ~F.lower(F.trim(c)).isin(*NO_FLAG), c))
+    e = flags_udf(lexicon_rows)(_flag_cell(lexicon_rows))
     arrays.append(F.transform(e, lambda x: F.struct(F.lit(FLAGS).alias("field_name"), x.cast("bigint").alias("entry_id"))))
     none = F.array().cast("array<struct<field_name:string,entry_id:bigint>>")
     return records.select("record_id", F.inline(F.concat(*[F.coalesce(a, none) for a in arrays])))
 
 
 def unmatched(records: DataFrame, lexicon_rows: list[tuple], top: int | None = None) -> DataFrame:
-    """Report of values that mean no entry: (field_name, value, n_records)."""
+    """Report of the scalar fields' values that mean no entry: (field_name, value, n_records)."""
     parts = []
     for f in SCALARS:
         c = F.col(f"`{f}`")
@@ -141,3 +169,9 @@ def unmatched(records: DataFrame, lexicon_rows: list[tuple], top: int | None = N
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.orderBy(F.desc("n_records"), "field_name", "value").limit(top) if top else out
+
+
+def unmatched_items(records: DataFrame, lexicon_rows: list[tuple]) -> DataFrame:
+    """Report of flag items that mean no entry, as unmatched() has it; an item counts once a record."""
+    items = records.select(F.explode(lost_items_udf(lexicon_rows)(_flag_cell(lexicon_rows))).alias("value"))
+    return items.groupBy("value").agg(F.count("*").alias("n_records")).select(F.lit(FLAGS).alias("field_name"), "value", "n_records")

@@ -23,7 +23,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.unmatched(table(spark, d, "records"), load(table(spark, d, "code_list")))
+    records, rows = table(spark, d, "records"), load(table(spark, d, "code_list"))
+    return canonical.unmatched(records, rows).unionByName(canonical.unmatched_items(records, rows))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -130,6 +130,18 @@ def test_mapped(spark):
     assert got(canonical.unmatched(records(spark, rows[:2]), CODE_LIST), "field_name", "value", "n_records") == [("visa_class", "KX-7", 1)]
 
 
+def test_unmatched_items(spark):
+    rows = [{"risk_flags": '"orbit_ban"; summons open, nonsense here; nonsense too; nonsense here'}, {"risk_flags": "nonsense here"}, {"risk_flags": "none"}, {"risk_flags": "memory_edit"}, {"risk_flags": None}]
+    assert got(canonical.unmatched_items(records(spark, rows), CODE_LIST), "field_name", "value", "n_records") == [("risk_flags", "nonsense here", 2), ("risk_flags", "nonsense too", 1)]
+    assert canonical.unmatched_items(records(spark, rows[:0]), CODE_LIST).count() == 0
+
+
+def test_unmatched_covers_the_fields_of_found(spark):
+    lost = queries.p4_found(spark, DATA).where("entry_id = 0").select("field_name").distinct()
+    fields = {r[0] for r in lost.collect()}
+    assert canonical.FLAGS in fields and {r[0] for r in queries.p4_unmatched(spark, DATA).select("field_name").distinct().collect()} == fields
+
+
 # Survivors
 
 TRUST = [("correction", 1), ("intake", 2), ("registry", 5), ("damaged", None)]
