@@ -9,7 +9,7 @@ distance. Cases are linked through the components of the representatives they sh
 
 The name of a letter counts only if it can be the applicant's: it must agree with the case's most frequent applicant name, or stand
 alone in a case without conflict. A case with only an initial, or without species or home world, joins the one applicant that fits
-best; such cases never connect two applicants.
+best; such cases never connect two applicants. Those that fit none are joined among themselves.
 
 Defined results: cells without a name, and names without a given or a family name, link nothing; rows without case are ignored;
 repeated rows change nothing; names of any length are cut into the same number of segments; a case with neither species nor home
@@ -404,8 +404,9 @@ def linked(records: DataFrame, aliases: DataFrame, lexicon_rows: list[tuple]) ->
     initial = F.substring("given", 1, 1)
     whole = lambda df, g: df.select("rep", "species", "world", "given", "family", F.lit(False).alias("part"), g.alias("g"))
     firm, loose = reps.where(_firm()), reps.where(~_firm())
-    pieces = firm.withColumn("family", F.explode("parts")).where(F.length("family") >= 6)
-    names = cut(whole(firm, given_key).unionByName(whole(pieces, given_key).withColumn("part", F.lit(True))))
+    pieces = lambda df: df.withColumn("family", F.explode("parts")).where(F.length("family") >= 6)
+    spelled = lambda df, g: whole(df, g).unionByName(whole(pieces(df), g).withColumn("part", F.lit(True)))
+    names = cut(spelled(firm, given_key))
     links = candidates(names, names, True).where(near(F.col("a_given"), F.col("b_given")))
     edges = links.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
     strong = members.where("firm")
@@ -416,18 +417,58 @@ def linked(records: DataFrame, aliases: DataFrame, lexicon_rows: list[tuple]) ->
     weak = members.join(certain, "case_id", "left_anti")
     # Cases without a firm representative join the one applicant that fits best; they never bridge two applicants.
     loose = cut(loose.join(weak.select("rep").distinct(), "rep", "left_semi"))
-    by_initial = candidates(whole(loose.where(F.col("kind") == WEAK), initial), names.withColumn("g", initial), False)
-    start = lambda n: F.levenshtein("a_given", F.substr("b_given", F.lit(1), n), 1) >= 0
-    size = F.length("a_given")
-    by_initial = by_initial.where(F.col("b_given").startswith(F.col("a_given")) | ((size >= 3) & (start(size) | start(size - 1))))
-    by_given = candidates(whole(loose.where(F.col("kind") != WEAK), given_key), names, False).where(near(F.col("a_given"), F.col("b_given")))
-    fit = by_initial.unionByName(by_given).select(F.col("a_rep").alias("rep"), F.col("b_rep").alias("node"), (F.levenshtein("a_family", "b_family") + F.col("b_part").cast("int")).alias("d"))
+    by_initial = candidates(spelled(loose.where(F.col("kind") == WEAK), initial), names.withColumn("g", initial), False).where(_opens("a_given", "b_given"))
+    by_given = candidates(spelled(loose.where(F.col("kind") != WEAK), given_key), names, False).where(near(F.col("a_given"), F.col("b_given")))
+    one_part = (F.col("a_part") | F.col("b_part")).cast("int")
+    fit = by_initial.unionByName(by_given).select(F.col("a_rep").alias("rep"), F.col("b_rep").alias("node"), (F.levenshtein("a_family", "b_family") + one_part).alias("d"))
     fit = fit.join(comps, "node").groupBy("rep", "comp").agg(F.min("d").alias("d"))
     fit = cut(weak.join(fit, "rep").groupBy("case_id", "comp").agg(F.min("d").alias("d")))
     best = fit.groupBy("case_id").agg(F.min("d").alias("d"))
     chosen = cut(fit.join(best, ["case_id", "d"]).groupBy("case_id").agg(F.min("comp").alias("comp"), F.max("comp").alias("last")).where("comp = last").select("case_id", "comp"))
-    rest = weak.join(chosen, "case_id", "left_anti").groupBy("case_id").agg(F.min("rep").alias("comp"))
-    return certain.unionByName(chosen).unionByName(rest).select("case_id", F.col("comp").alias("applicant"))
+    rest = cut(weak.join(chosen, "case_id", "left_anti").select("case_id", "rep"))
+    loose = cut(loose.join(rest.select("rep").distinct(), "rep", "left_semi"))
+    alone = among_loose(rest, loose, spelled(loose, initial), spelled(loose.where(F.col("kind") != WEAK), given_key))
+    return certain.unionByName(chosen).unionByName(alone).select("case_id", F.col("comp").alias("applicant"))
+
+
+def _opens(short: str, given: str) -> Column:
+    """Whether a shortened given name opens a given name, within one slip from three letters on."""
+    size = F.length(short)
+    start = lambda n: F.levenshtein(F.col(short), F.substr(F.col(given), F.lit(1), n), 1) >= 0
+    return F.col(given).startswith(F.col(short)) | ((size >= 3) & (start(size) | start(size - 1)))
+
+
+def among_loose(rest: DataFrame, loose: DataFrame, by_initial: DataFrame, by_given: DataFrame) -> DataFrame:
+    """(case_id, comp) of the cases that fit no applicant with a firm representative, linked among themselves.
+
+    Representatives that lack the same are joined for certain. Links between others count only if all that they connect agrees in
+    species, home world and given name; else the certain parts stay apart.
+    """
+    a_short, b_short = _opens("a_given", "b_given"), _opens("b_given", "a_given")
+    # No blocks have both attributes unknown: who lacks the species and who lacks the home world meet by their full names.
+    anywhere = lambda lacks: by_given.where(F.col(lacks).isNull()).withColumns({"species": F.lit("*"), "world": F.lit("*")})
+    by_name = candidates(by_given, by_given, False).unionByName(candidates(anywhere("species"), anywhere("world"), False)).where(near(F.col("a_given"), F.col("b_given")))
+    ends = lambda df: df.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
+    lacks = lambda p: loose.select(F.col("rep").alias(p), F.struct(F.col("kind") == WEAK, (F.col("kind") == WEAK) & (F.length("given") == 1), F.col("species").isNull(), F.col("world").isNull()).alias(f"{p}_lacks"), (F.col("kind") == WEAK).alias(f"{p}_weak"))
+    met = candidates(by_initial, by_initial, False).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"), a_short.alias("a_opens"), b_short.alias("b_opens")).where("a_opens or b_opens")
+    met = met.join(lacks("a"), "a").join(lacks("b"), "b").where("(a_weak and a_opens) or (b_weak and b_opens)").select("a", "b")
+    found = met.unionByName(ends(by_name)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = cut(found.join(lacks("a"), "a").join(lacks("b"), "b").select("a", "b", (F.col("a_lacks") == F.col("b_lacks")).alias("sure")))
+    hub = rest.groupBy("case_id").agg(F.min("rep").alias("hub"))
+    star = rest.join(hub, "case_id").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    parts = components(edges.where("sure").select("a", "b").union(star)).withColumnRenamed("comp", "part")
+    wide = components(edges.select("a", "b").union(star))
+    key = F.when(F.col("kind") == STRONG, F.col("given")).when(F.col("kind") == RAW, F.concat(F.lit("~"), F.substring("given", 1, 1)))
+    nodes = cut(wide.join(parts, "node").join(loose.withColumnRenamed("rep", "node"), "node").select("node", "comp", "part", "species", "world", "given", "kind", key.alias("key")))
+    keys = nodes.where("key is not null")
+    shared = keys.groupBy("comp", "key").agg(F.countDistinct("part").alias("n")).groupBy("comp").agg(F.max("n").alias("shared"))
+    named = keys.groupBy("comp").agg(F.countDistinct("part").alias("named"))
+    raw, opening = F.when(F.col("kind") == RAW, F.col("given")), F.when(F.length("given") > 1, F.substring("given", 1, 2))
+    alike = F.coalesce(near(F.min(raw), F.max(raw)), F.lit(True)) & (~F.bool_or((F.col("kind") == WEAK) & (F.length("given") > 1)) | (F.min(opening) == F.max(opening)))
+    agree = nodes.groupBy("comp").agg((_agree(F.min("species"), F.max("species")) & _agree(F.min("world"), F.max("world")) & alike).alias("agree"))
+    ok = agree.join(shared, "comp", "left").join(named, "comp", "left").select("comp", (F.col("agree") & F.coalesce(F.col("shared") == F.col("named"), F.lit(True))).alias("ok"))
+    final = nodes.join(ok, "comp").select(F.col("node").alias("hub"), F.when(F.col("ok"), F.col("comp")).otherwise(F.col("part")).alias("comp"))
+    return hub.join(final, "hub").select("case_id", "comp")
 
 
 def pairs(links: DataFrame) -> DataFrame:

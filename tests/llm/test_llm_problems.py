@@ -242,6 +242,22 @@ def test_links(spark):
     assert link(spark, rows[:0]) == []
 
 
+def test_links_of_incomplete_cases_among_themselves(spark):
+    no_world, no_species = {"home_world": None}, {"species_code": None}
+    rows = [
+        {"case_id": "A", "applicant_name": "B. Virfoash"}, {"case_id": "B", "applicant_name": "B. Virfoosh"},
+        {"case_id": "C", "applicant_name": "Pele Gafinthel"} | no_world, {"case_id": "D", "applicant_name": "Pele Gafinthel"} | no_species,
+        {"case_id": "E", "applicant_name": "R. Nadroanquar"}, {"case_id": "F", "applicant_name": "R. Nadroanquar"}, {"case_id": "F", "applicant_name": "R. Besholm"}, {"case_id": "F", "applicant_name": "R. Tarquil"},
+        {"case_id": "G", "applicant_name": "W. Hembrigal Tosk"}, {"case_id": "H", "applicant_name": "Wofosie Hembrigal"},
+        {"case_id": "I", "applicant_name": "S. Dunmorrel-Askewin"}, {"case_id": "J", "applicant_name": "S. Dunmorel"},
+        # an initial does not connect two given names
+        {"case_id": "K", "applicant_name": "Pele Ostrander"} | no_world, {"case_id": "L", "applicant_name": "Pudgrim Ostrander"} | no_world, {"case_id": "M", "applicant_name": "P. Ostrander"},
+        # nor a case without home world two applicants of unlike worlds
+        {"case_id": "N", "applicant_name": "S. Quellbarth"}, {"case_id": "O", "applicant_name": "S. Quellbarth", "home_world": "Velm-14b"}, {"case_id": "P", "applicant_name": "Sidrom Quellbarth"} | no_world,
+    ]
+    assert link(spark, rows) == [("A", "B"), ("C", "D"), ("E", "F"), ("G", "H"), ("I", "J")]
+
+
 def test_pigeonhole_join_finds_all_pairs_within_k(spark):
     rng = random.Random(6)
     base = ["virfoashtun", "zumskulbesh", "gafinthel", "nadroanquar"]
