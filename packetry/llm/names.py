@@ -119,8 +119,7 @@ class Givens:
             d = distance(token, g, _edits(g))
             if d <= _edits(g):
                 near.setdefault(d, []).append(g)
-        best = sorted({x for g in near[min(near)] for x in ([g] if g in self.names else self.short[g])}) if near else []
-        return best if len(best) <= 3 else []
+        return sorted({x for g in near[min(near)] for x in ([g] if g in self.names else self.short[g])}) if near else []
 
 
 def _tokens(name: str) -> tuple[list[str], list[str], list[str]]:

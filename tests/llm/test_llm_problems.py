@@ -222,6 +222,12 @@ def test_forms(name, forms):
     assert [f[:3] for f in reader.forms(name)] == forms
 
 
+def test_a_slip_near_many_given_names_keeps_them_all():
+    near = ["balan", "belan", "bilan", "bolan"]
+    reader = names.Reader(names.Givens([(g, None) for g in near], [], []))
+    assert [f[:3] for f in reader.forms("Bulan Virfoash")] == [(g, "virfoash", 0) for g in near]
+
+
 def link(spark, rows):
     aliases = spark.createDataFrame([("Pele", "Pelkin"), ("Wofosie", "Muth"), ("Sidrom", "Sid")], "given_name string, short_name string")
     base = {"species_code": "TARN_WEAVER", "home_world": "Velm-12c"}
