@@ -79,7 +79,7 @@ def _within(token: str, cap: int):
 
 
 def note_like(c: Column) -> Column:
-    """A text that carries a note's label, or a window of its length within 30 percent of edits (first 2000 letters, as defined)."""
+    """A text that carries a note's label, or a window of its length within 30 percent of edits."""
 
     def judge(k: Column) -> Column:
         out = F.lit(False)
@@ -90,7 +90,7 @@ def note_like(c: Column) -> Column:
         return out
 
     # A bound variable, so that the letters are taken out once per text and not once per window.
-    return F.coalesce(F.exists(F.array(F.substring(canon(c), 1, 2000)), judge), F.lit(False))
+    return F.coalesce(F.exists(F.array(canon(c)), judge), F.lit(False))
 
 
 def slip_anchor(c: Column) -> Column:

@@ -34,6 +34,10 @@ def test_scalar(spark, f, value, want):
     assert one(spark, f, value) == want
 
 
+def test_note_label_behind_a_long_text(spark):
+    assert one(spark, fuzzy.note_like, "x " * 2500 + "adjudlcatar") and not one(spark, fuzzy.note_like, "x " * 2500)
+
+
 def test_same_person_and_amount(spark):
     assert one(spark, X.same_person, "Ann Lee", "Ann Lee-Stone") and one(spark, X.same_person, "Anna Berg", "Anma Barg") and not one(spark, X.same_person, "Anna Berg", "Otto Maxim")
     assert str(one(spark, X.amount, "paid $ 1,809.00 and $2.00")) == "1809.00"
