@@ -16,6 +16,7 @@ def _filled(spark: SparkSession, d: str, parents: bool) -> tuple[DataFrame, list
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Most frequent value of the case, for the fee the status nearest in time. The statement fixes both, so no clustering runs here."""
     filled, _ = _filled(spark, d, False)
     return filled.select(F.col("row_id").alias("record_id"), F.col("field").alias("field_name"), F.col("entry").cast("bigint").alias("entry_id"))
 
