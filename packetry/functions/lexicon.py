@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from itertools import permutations, product
+from itertools import permutations
 
 from packetry.functions.text import fold, is_absent
 
@@ -70,25 +70,48 @@ def distance(a: str, b: str, limit: int) -> int:
     return min(row[-1], limit + 1)
 
 
-def _short_forms(token: str) -> list[str]:
+#: Entries of at most so many words are searched in every order of their words, longer ones in every turn of it.
+ALL_ORDERS = 4
+
+
+def _bare(token: str) -> str:
+    """A word without the vowels after its first letter."""
+    return token[0] + re.sub("[aeiou]", "", token[1:])
+
+
+def _short_ends(token: str, key: str, at: int) -> list[int]:
+    """Ends in key of the short forms of a word that begin at a place: the word, its openings from three letters on, or its consonants."""
+    n = 0
+    while n < len(token) and at + n < len(key) and key[at + n] == token[n]:
+        n += 1
     if not token.isalpha():
-        return [token]
-    bare = token[0] + re.sub("[aeiou]", "", token[1:])
-    return list(dict.fromkeys([token, *(token[:n] for n in range(len(token) - 1, 2, -1)), *([bare] if len(bare) > 2 else [])]))
+        return [at + n] if n == len(token) else []
+    ends = list(range(at + 3, at + n + 1)) if len(token) > 2 else [at + n] if n == len(token) else []
+    bare = _bare(token)
+    return [*ends, at + len(bare)] if len(bare) > 2 and key.startswith(bare, at) else ends
+
 
+def shortened(tokens: list[str], key: str) -> bool:
+    """Whether key is the words of an entry in order, each in one of its short forms. The forms are walked, never listed."""
+    at = {0}
+    for token in tokens:
+        at = {e for a in at for e in _short_ends(token, key, a)}
+        if not at:
+            return False
+    return len(key) in at
 
-def aliases(canonical: str, wording: str | None, short_code: str | None) -> tuple[set[str], set[str]]:
-    """(forms searched within a distance, forms matched exactly) of one entry, all as key_of() writes them."""
+
+def aliases(canonical: str, wording: str | None) -> set[str]:
+    """Forms of an entry that are searched within a distance, as key_of() writes them."""
     near = {key_of(canonical)}
     tokens = re.findall(r"[^\W_]+", fold(canonical))
-    if 1 < len(tokens) <= 4:
+    if 1 < len(tokens) <= ALL_ORDERS:
         near |= {"".join(p) for p in permutations(tokens)}
+    elif tokens:
+        near |= {"".join(tokens[i:] + tokens[:i]) for i in range(len(tokens))}
     if wording:
         near.add(key_of(wording))
-    exact = {key_of(short_code)} if short_code else set()
-    if len(tokens) <= 4:
-        exact |= {"".join(p) for p in product(*map(_short_forms, tokens))}
-    return near, exact - near
+    return near
 
 
 class Lexicon:
@@ -96,28 +119,33 @@ class Lexicon:
 
     def __init__(self, rows: Iterable[tuple[int, str, str, str | None, str | None]]):
         self.near: dict[str, list[tuple[str, int]]] = {}
-        self.exact: dict[str, dict[str, int]] = {}
         self.canonical: dict[str, dict[str, int]] = {}
-        clashes: dict[str, set[str]] = {}
+        self._whole: dict[str, dict[str, set[int]]] = {}
+        self._codes: dict[str, dict[str, set[int]]] = {}
+        self._words: dict[str, dict[str, list[tuple[list[str], int]]]] = {}
         rows = sorted(rows)
         if len(rows) > MAX_ENTRIES:
             raise ValueError(f"a vocabulary of more than {MAX_ENTRIES} entries is not a closed list")
         for entry_id, field, canonical, wording, short_code in rows:
             self.canonical.setdefault(field, {})[canonical] = entry_id
-            near, exact = aliases(canonical, wording, short_code)
+            near = aliases(canonical, wording)
             self.near.setdefault(field, []).extend((k, entry_id) for k in sorted(near))
-            known = self.exact.setdefault(field, {})
-            for k in near | exact:
-                if known.setdefault(k, entry_id) != entry_id:
-                    clashes.setdefault(field, set()).add(k)
-        for field, keys in clashes.items():  # a shortened form of two entries names neither
-            for k in keys:
-                owners = {e for n, e in self.near[field] if n == k}
-                if len(owners) == 1:
-                    self.exact[field][k] = owners.pop()
-                else:
-                    del self.exact[field][k]
+            for k in near:
+                self._whole.setdefault(field, {}).setdefault(k, set()).add(entry_id)
+            if short_code:
+                self._codes.setdefault(field, {}).setdefault(key_of(short_code), set()).add(entry_id)
+            if tokens := re.findall(r"[^\W_]+", fold(canonical)):
+                self._words.setdefault(field, {}).setdefault(tokens[0][0], []).append((tokens, entry_id))
         self.memo: dict[tuple[str, str], int] = {}
+        self.raw: dict[tuple[str, str], int | None] = {}
+
+    def exact(self, field: str, key: str) -> int | None:
+        """The one entry a key writes in full, by its code or shortened; a whole writing comes before a shortened one, two owners mean none."""
+        owners = self._whole.get(field, {}).get(key, set())
+        if not owners and key:
+            owners = set(self._codes.get(field, {}).get(key, ()))
+            owners |= {e for tokens, e in self._words.get(field, {}).get(key[0], ()) if shortened(tokens, key)}
+        return next(iter(owners)) if len(owners) == 1 else None
 
     def search(self, field: str, key: str) -> list[tuple[int, int]]:
         """(distance, entry) of every entry within reach of key, nearest first."""
@@ -130,13 +158,25 @@ class Lexicon:
         return sorted((d, e) for e, d in best.items())
 
     def resolve(self, field: str, value: str | None) -> int | None:
-        """Entry meant by a value, 0 if none is, None for a cell without value. Two entries equally near mean none."""
-        if is_absent(value):
+        """Entry meant by a value, 0 if none is, None for a cell without value. Two entries equally near mean none.
+
+        A writing of absence that is an entry in full ("Hidden Harbor" of a list that holds it) is that entry.
+        """
+        if value is None:
             return None
         if (hit := self.canonical.get(field, {}).get(value)) is not None:
             return hit
+        if (field, value) in self.raw:
+            return self.raw[field, value]
+        hit = self._resolve(field, value)
+        if len(self.raw) < 200_000 and len(value) <= 200:
+            self.raw[field, value] = hit
+        return hit
+
+    def _resolve(self, field: str, value: str) -> int | None:
         key = key_of(value)
-        if (hit := self.exact.get(field, {}).get(key)) is not None:
+        hit = self.exact(field, key)
+        if hit is not None or is_absent(value):
             return hit
         if (field, key) in self.memo:
             return self.memo[field, key]

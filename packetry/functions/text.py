@@ -9,9 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Writings that mean "no value here".
-ABSENT_WORDS = ("n/a", "na", "n.a.", "null", "nil", "nan", "(blank)", "blank", "not given", "not stated", "not legible", "tbd", "t.b.d.", "unknown", "pending entry", "pending", "as before?", "as before", "see photo", "see above")
-# Words of damage; a cell holding one says that its value was destroyed.
-DAMAGE = r"(illegible|unreadable|not legible|blotted|smeared|burnt|erased|torn|hidden|receipt (lost|missing)|not given|not stated|pending entry|see photo)"
+ABSENT_WORDS = ("n/a", "na", "n.a.", "null", "nil", "nan", "(blank)", "blank", "not legible", "tbd", "t.b.d.", "tba", "tbc", "unknown", "pending entry", "pending", "as before?", "as before", "see photo", "see above", "see below", "see file", "see scan", "empty", "left blank", "withheld", "omitted")
+#: What may stand before or after the word that tells of a lost value, so that a name like "Hidden Harbor" is none.
+_NOUN = r"(?:the|this|name|applicant|species|home|world|purpose|visa|class|status|fee|receipt|sponsor|letter|date|arrival|entry|field|value|cell|panel|page|text|line|print|writing|is|was|has|been|are|were|here|now|too|fully|partly|badly|by|water|fire|ink)"
+_LOST = r"(?:(?:not |un|il|in)?(?:legible|readable|decipherable)|blotted|smeared|smudged|burnt|burned|erased|torn|hidden|covered|obscured|faded|stained|washed out|cut out|whited out|blacked out|redacted|destroyed|damaged|lost|missing|illegible|unreadable)"
+_NEVER = r"(?:(?:not|never|none|nothing|no) (?:yet )?(?:given|stated|provided|supplied|recorded|entered|declared|specified|disclosed|available|known|found|filled in|filled|shown|present|entry|value|data|answer|record|information)|to be (?:advised|announced|confirmed|determined|decided|given|supplied)|pending entry|see photo|awaiting (?:entry|papers|data))"
+#: A whole cell that tells that its value was destroyed or never given, with nothing else in it but words for the cell itself.
+DAMAGE = rf"^[^a-z0-9]*(?:{_NOUN}[ :._-]+)*(?:{_LOST}|{_NEVER})(?:[ ,._-]+{_NOUN})*[^a-z0-9]*$"
 #: Nothing but marks, or the opening or closing bracket of a damage note.
 _MARKS = r"^[\s?\-–—.*_#]*$"
 #: Words that say a flag cell holds no flag.
@@ -23,6 +27,12 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
+def blank(c: Column) -> Column:
+    """True where the cell holds nothing, marks only, or a word for "no value": what can never be an entry of a vocabulary."""
+    t = F.lower(strip(c))
+    return F.coalesce(t.rlike(_MARKS) | t.isin(*ABSENT_WORDS), F.lit(True))
+
+
 def absent(c: Column) -> Column:
     """True where the cell carries no value of its field, in whatever writing (null included)."""
     t = F.lower(strip(c))

@@ -29,10 +29,17 @@ _PIECE = re.compile(
     r"""|(?P<text>.)""",
     re.S | re.I,
 )
+_SPACES = re.compile(r"\s*")
 #: Cells that hold none of these are one item at most and never leave the JVM.
 MAYBE_SEVERAL = r"[|;,/&+\t\n\r\s]"
 
 
+def _lower(s: str) -> str:
+    """Lower case with every character at its place; one whose lower case is longer stays."""
+    low = s.lower()
+    return low if len(low) == len(s) else "".join(x if len(x := ch.lower()) == 1 else ch for ch in s)
+
+
 def _known(values: Iterable[str]) -> ahocorasick.Automaton | None:
     automaton = ahocorasick.Automaton()
     for v in {fold(v) for v in values if v and v.strip()}:
@@ -93,9 +100,9 @@ class Segmenter:
         while j > 0:
             _, i, item = steps[j]
             if item is not None:
-                items[:0] = self._blanks(item, atoms[j - 1][2])
+                items += reversed(self._blanks(item, atoms[j - 1][2]))
             j = i
-        return [x for x in map(self._bare, items) if x]
+        return [x for x in map(self._bare, reversed(items)) if x]
 
     @staticmethod
     def _tight(cell: str, atom: tuple[int, int, str]) -> tuple[int, int, str]:
@@ -110,9 +117,9 @@ class Segmenter:
     def _arcs(self, cell: str, atoms: list[tuple[int, int, str]]) -> dict[int, list[int]]:
         """Arcs over several atoms whose text is one known value: end atom (exclusive) to start atoms."""
         out: dict[int, list[int]] = {}
-        low = cell.lower()
-        if self.automaton is None or len(low) != len(cell):
+        if self.automaton is None:
             return out
+        low = _lower(cell)
         starts = {a[0]: i for i, a in enumerate(atoms)}
         ends = {a[1]: i + 1 for i, a in enumerate(atoms)}
         for last, n in self.automaton.iter(low):
@@ -125,17 +132,18 @@ class Segmenter:
         """A run made up of several known values with only blanks between them is cut there."""
         if kind == "quote" or self.automaton is None or " " not in item:
             return [item]
-        low, ends = item.lower(), {0: []}
-        if len(low) != len(item):
-            return [item]
-        spans = [(last + 1 - n, last + 1) for last, n in self.automaton.iter(low)]
+        ends: dict[int, tuple[int, int, int]] = {0: (0, 0, 0)}  # place reached: number of values, start and end of the last one
+        spans = [(last + 1 - n, last + 1) for last, n in self.automaton.iter(_lower(item))]
         for s, e in sorted(spans, key=lambda x: x[1]):
             if s in ends and (e == len(item) or item[e].isspace()):
-                after = e + (len(item[e:]) - len(item[e:].lstrip()))
-                cover = [*ends[s], item[s:e]]
-                if after not in ends or len(cover) < len(ends[after]):
-                    ends[after] = cover
-        return ends.get(len(item)) or [item]
+                after = _SPACES.match(item, e).end()
+                if after not in ends or ends[s][0] + 1 < ends[after][0]:
+                    ends[after] = (ends[s][0] + 1, s, e)
+        cover, at = [], len(item)
+        while at in ends and at > 0:
+            _, at, e = ends[at]
+            cover.append(item[at:e])
+        return cover[::-1] or [item]
 
     @staticmethod
     def _bare(item: str) -> str:

@@ -16,7 +16,7 @@ def _filled(spark: SparkSession, d: str, parents: bool) -> tuple[DataFrame, list
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """Most frequent value of the case, for the fee the status nearest in time. The statement fixes both, so no clustering runs here."""
+    """Cells filled by a prototype of their own case: that of the field, for the fee that at the least gap in time."""
     filled, _ = _filled(spark, d, False)
     return filled.select(F.col("row_id").alias("record_id"), F.col("field").alias("field_name"), F.col("entry").cast("bigint").alias("entry_id"))
 
@@ -24,7 +24,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_filled(spark: SparkSession, d: str) -> DataFrame:
     filled, rows = _filled(spark, d, True)
     names = spark.createDataFrame([(int(e), c) for e, _, c, *_ in rows] or [(0, "")], "entry int, value string")
-    return filled.join(F.broadcast(names), "entry").select(F.col("row_id").alias("record_id"), F.col("field").alias("field_name"), "value", "method")
+    return filled.join(F.broadcast(names), "entry").select(F.col("row_id").alias("record_id"), F.col("field").alias("field_name"), "value", "method", "distance")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

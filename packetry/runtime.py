@@ -23,6 +23,8 @@ def session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> SparkSes
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -39,12 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the cluster's shared checkpoint folder and return it without lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one is made.
-    Checkpoint files outlive lost executors, unlike cached or locally checkpointed blocks.
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset on a local master (tests) a temporary one is made, a
+    cluster without it is refused. Checkpoint files outlive lost executors, unlike cached or locally checkpointed blocks.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         set_dir = sc.getConf().get("spark.checkpoint.dir", None)
+        if not set_dir and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(set_dir or tempfile.mkdtemp(prefix="packetry-"))
     return df.checkpoint(eager=True)
 
@@ -60,16 +64,20 @@ def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> tuple[DataFrame,
     return (F.broadcast(df), True) if size <= limit else (df, False)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 32, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Join a large left to a dictionary: broadcast it while small, else salt it so that a hot key is spread over many tasks.
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 32, limit: int = BROADCAST_LIMIT, heavy: int = 1_000_000) -> DataFrame:
+    """Join a large left to a dictionary: broadcast it while small, else spread the rows of heavy keys over many tasks.
 
-    Beyond the limit each dictionary row is repeated once per salt and each left row draws one salt from its own hash.
+    Beyond the limit the keys of more than heavy left rows (rows / heavy keys at most) are counted; only their dictionary rows are
+    repeated, once per salt, and only their left rows draw a salt, from their own hash.
     """
     right, small = small_side(right, limit)
     if small:
         return left.join(right, keys, how)
-    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    mine = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if not left.schema[c].dataType.simpleString().startswith("map")]), F.lit(salts)).cast("int"))
+    hot = left.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > heavy).select(*keys, F.lit(salts).alias("_salts"))
+    hot, _ = small_side(hot)
+    spread = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    plain = [F.col(f"`{c}`") for c in left.columns if not left.schema[c].dataType.simpleString().startswith("map")]
+    mine = left.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*plain), F.coalesce("_salts", F.lit(1)).cast("bigint")).cast("int")).drop("_salts")
     return mine.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
