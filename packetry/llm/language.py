@@ -3,10 +3,14 @@
 A classifier is fitted on at most ``sample`` labelled documents per language (the bound is a parameter). Wrong labels among them are
 cast out first: documents whose nearest single centroid is another language's leave the fit. The rest of each language is split by
 spherical k-means into several centroids. A line gets the language of the centroid with the highest cosine; a line too far from all
-centroids, or of few words, is rejected: rejected lines in a row are read together, among the languages of the accepted lines, and
-those without any word follow the line before. A text whose accepted lines clearly
+centroids, or of few words, is not accepted by itself: such lines in a row are read together, among the languages of the accepted
+lines, and those without any word follow the line before. A text whose accepted lines clearly
 agree is of one language; otherwise each line that is not blank is a segment of its own.
 
+Rejection: a text, or a line of a text in several languages, with enough words in small letters that lies too far from every centroid
+is in none of the languages; its language is null and its confidence 0. Too far means a cosine below FAR times what all but
+one in a hundred of the training lines reach.
+
 Classification is one map over all documents and whole texts; the fitted table (bounded by its number of features and centroids)
 travels with the tasks.
 
@@ -32,13 +36,17 @@ LANGUAGES = {
 }
 NAMES = sorted(LANGUAGES)
 #: Features are n-grams of these lengths hashed into so many slots.
-GRAMS, SLOTS = (2, 3), 1 << 13
+GRAMS, SLOTS = (1, 2, 3), 1 << 14
+#: Share of the cosine of nearly all training lines below which a line is in none of the languages.
+FAR = 0.4
 #: Largest block of characters worked on at once.
 BLOCK = 400_000
 
 _IDS = regex.compile(r"\b\p{Lu}{2,4}-\d\w*")
 _WORD = regex.compile(r"(?<![\w])\p{L}{2,}(?![\w])")
 _NOT_LETTER = regex.compile(r"[^\p{L}]+")
+#: Words in capitals within a line, most of them names, which are of no language.
+_NAMES = regex.compile(r"(?<=\S\s+)\p{Lu}[\p{L}\p{M}'’-]*+")
 
 
 def label_language(c: Column) -> Column:
@@ -48,7 +56,14 @@ def label_language(c: Column) -> Column:
     return F.try_element_at(F.create_map(*names), key)
 
 
-def _clean(line: str) -> str:
+def _small_words(line: str) -> int:
+    return sum(w[0].islower() for w in _WORD.findall(_IDS.sub(" ", line)))
+
+
+def _clean(line: str, least_words: int = 3) -> str:
+    """Small letters with single blanks between words. Names within a line that has words enough besides them are left out."""
+    if _small_words(line) >= least_words:
+        line = _NAMES.sub(" ", line)
     return " " + _NOT_LETTER.sub(" ", _IDS.sub(" ", line).lower()).strip() + " "
 
 
@@ -103,13 +118,14 @@ class Centroids:
 
     def many(self, texts: list[str | None]) -> list[list[tuple[int, str, float]]]:
         lines: list[str] = []
-        spans: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        spans: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
         for text in texts:
             own = [x for x in (text or "").split("\n") if x.strip()]
             found = [_WORD.findall(_IDS.sub(" ", x)) for x in own]
             words = np.array([len(f) for f in found], dtype=np.int64)
-            plain = np.array([len(f) if x.isupper() else sum(w[0].islower() for w in f) for x, f in zip(own, found)], dtype=np.int64)
-            spans.append((len(lines), len(lines) + len(own), words, plain))
+            small = np.array([sum(w[0].islower() for w in f) for f in found], dtype=np.int64)
+            plain = np.where([x.isupper() for x in own], words, small) if own else small
+            spans.append((len(lines), len(lines) + len(own), words, plain, small))
             lines += map(_clean, own)
         scores = np.zeros((len(lines), len(self.names)), dtype=np.float32)
         at = 0
@@ -120,24 +136,27 @@ class Centroids:
                 to += 1
             scores[at:to] = self.cosines(lines[at:to])
             at = to
-        return [self._judge(scores[a:b], words, plain) for a, b, words, plain in spans]
+        return [self._judge(scores[a:b], words, plain, small) for a, b, words, plain, small in spans]
 
-    def _judge(self, s: np.ndarray, words: np.ndarray, plain: np.ndarray, least_words: int = 3, margin: float = 0.04) -> list[tuple[int, str, float]]:
-        """plain counts the words of each line that are not names (all words of a line in capitals)."""
+    def _judge(self, s: np.ndarray, words: np.ndarray, plain: np.ndarray, small: np.ndarray, least_words: int = 3, margin: float = 0.04) -> list[tuple[int, str | None, float]]:
+        """plain counts the words of each line that are not names (all words of a line in capitals), small those in small letters."""
         if not words.sum():
             return []
         order = np.argsort(-s, axis=1)
         every = np.arange(len(s))
         top, second = s[every, order[:, 0]], s[every, order[:, 1]] if s.shape[1] > 1 else np.zeros(len(s))
-        sure = (plain >= least_words) & (top >= self.far)
+        # A line in capitals may be a label with a name, which says little: it needs five words and half as much again.
+        firm = (small >= least_words) & (top >= self.far) | (plain >= 5) & (top >= 1.5 * self.far)
+        foreign = (small >= least_words) & (top < self.far)
         whole = (s * words[:, None]).sum(axis=0) / words.sum()
         main = int(whole.argmax())
-        other = sure & (order[:, 0] != main) & (top - s[:, main] >= margin)
+        other = firm & (order[:, 0] != main) & (top - s[:, main] >= np.minimum(margin, top / 10))
         share = lambda a, b: round(float(a / max(a + b, 1e-9)), 4)
         if not other.any():
             rest = np.delete(whole, main)
+            if whole[main] < self.far and small.sum() >= least_words:
+                return [(0, None, 0.0)]
             return [(0, self.names[main], share(whole[main], rest.max() if len(rest) else 0.0))]
-        firm = (plain >= least_words) & (top >= self.far)
         here = sorted({int(x) for x in order[firm, 0]} | {main})  # the languages of the text, which its short lines choose from
         picks = np.where(firm, order[:, 0], -1)
         i = 0
@@ -157,7 +176,7 @@ class Centroids:
         out = []
         for i, p in enumerate(picks):
             rest = max((float(s[i, h]) for h in here if h != p), default=0.0)
-            out.append((i + 1, self.names[p], share(s[i, p], rest) if words[i] else 0.0))
+            out.append((i + 1, None, 0.0) if foreign[i] else (i + 1, self.names[p], share(s[i, p], rest) if words[i] else 0.0))
         return out
 
 
@@ -166,7 +185,7 @@ def fit(rows: list[tuple[str, str]], centroids: int = 3, rounds: int = 6, seed:
     if not rows:
         return Centroids(np.ones(SLOTS, np.float32), np.zeros((SLOTS, 1), np.float32), NAMES[:1], 0.0)
     rows = sorted(rows)
-    texts, langs = [_clean(t.replace("\n", " ")) for _, t in rows], np.array([x for x, _ in rows])
+    texts, langs = [" ".join(map(_clean, t.split("\n"))) for _, t in rows], np.array([x for x, _ in rows])
     row, slot, w = vectors(texts)
     seen = np.bincount(slot, minlength=SLOTS)
     idf = np.log((1 + len(texts)) / (1 + seen)).astype(np.float32) + 0.1
@@ -193,14 +212,21 @@ def fit(rows: list[tuple[str, str]], centroids: int = 3, rounds: int = 6, seed:
         table.append(c)
         owner += [n] * k
     full = np.concatenate(table) if table else np.zeros((1, SLOTS), dtype=np.float32)
-    best = (dense[keep] @ full.T).max(axis=1) if keep.any() else np.array([0.2])
-    return Centroids(idf, np.ascontiguousarray(full.T.astype(np.float32)), owner or ["en"], float(best.min()) * 0.25)
+    model = Centroids(idf, np.ascontiguousarray(full.T.astype(np.float32)), owner or ["en"], 0.0)
+    own = [x for (_, t), k in zip(rows, keep) if k for x in t.split("\n") if _small_words(x) >= 3]
+    if own:
+        model.far = FAR * float(np.quantile(np.concatenate([model.cosines([_clean(x) for x in own[i : i + 2000]]).max(axis=1) for i in range(0, len(own), 2000)]), 0.01))
+    return model
 
 
-def training_rows(documents: DataFrame, sample: int = 300, seed: int = 42) -> list[tuple[str, str]]:
-    """At most about sample labelled documents per language, picked by the hash of their id; texts are whole."""
-    labelled = documents.select("doc_id", "text", label_language(F.col("lang")).alias("l")).where("l is not null and text is not null and length(text) > 40")
+def training_rows(documents: DataFrame, sample: int = 400, seed: int = 42, least_chars: int = 41) -> list[tuple[str, str]]:
+    """About sample labelled documents per language of at least least_chars characters, twice as many at most over all languages, picked by
+    the hash of their id; texts are whole. Counts come from the column n_chars where there is one, so that texts are read for the draw only.
+    """
+    size = F.col("n_chars") if "n_chars" in documents.columns else F.length("text")
+    labelled = documents.select("doc_id", "text", size.alias("size"), label_language(F.col("lang")).alias("l")).where("l is not null").where(F.col("size") >= least_chars)
     counts = {r["l"]: r["n"] for r in labelled.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    labelled = labelled.where("text is not null")
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000))
     pick = F.lit(False)
     for lang, n in sorted(counts.items()):
@@ -208,7 +234,7 @@ def training_rows(documents: DataFrame, sample: int = 300, seed: int = 42) -> li
     return [(r["l"], r["text"]) for r in labelled.where(pick).select("l", "text").limit(2 * sample * len(LANGUAGES)).collect()]
 
 
-def segments(documents: DataFrame, sample: int = 300) -> DataFrame:
+def segments(documents: DataFrame, sample: int = 400) -> DataFrame:
     """(doc_id, label, segment_no, lang, confidence): segment 0 for a text in one language, else one row per line that is not blank."""
     model = fit(training_rows(documents, sample))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # SLOTS x (languages x centroids) numbers
@@ -225,6 +251,7 @@ def segments(documents: DataFrame, sample: int = 300) -> DataFrame:
     return documents.select("doc_id", label_language(F.col("lang")).alias("label"), "text").mapInPandas(run, "doc_id bigint, label string, segment_no int, lang string, confidence double")
 
 
-def found(documents: DataFrame, sample: int = 300) -> DataFrame:
-    """(doc_id, segment_no, lang) of texts whose label is absent or wrong, and of every line of texts in several languages."""
-    return segments(documents, sample).where("segment_no > 0 or label is null or label <> lang").select("doc_id", "segment_no", "lang")
+def found(documents: DataFrame, sample: int = 400) -> DataFrame:
+    """(doc_id, segment_no, lang) of texts whose label is absent or wrong, and of every line of texts in several languages; what is in none
+    of the languages has no row."""
+    return segments(documents, sample).where("lang is not null and (segment_no > 0 or label is null or label <> lang)").select("doc_id", "segment_no", "lang")

@@ -5,7 +5,12 @@ undone; known short forms and slips lead to the given name they stand for). Equa
 representative, so copies are never paired. A family name of a representative is cut into k + 1 segments; two names within k edits
 share a segment, at most k places apart. Segments go into an inverted index keyed by block (species and home world), given name,
 length and segment; every representative looks up its position-shifted substrings, and candidates are verified by banded edit
-distance. Cases are linked through the components of the representatives they show.
+distance, over the letters as written and over letters that scans confuse made one. Two edits in a short name count only if not both
+writings are family names that several given names bear: a damaged writing is a rare one. Cases are linked through the components of
+the representatives they show.
+
+Index, probes and candidates are narrow rows spread by one hash of the key; a key that many representatives share is split by AQE's
+skew join. What the driver holds are closed lists: short forms, nicknames, and given names in use (refused beyond MAX_LISTED).
 
 The name of a letter counts only if it can be the applicant's: it must agree with the case's most frequent applicant name, or stand
 alone in a case without conflict. A case with only an initial, or without species or home world, joins the one applicant that fits
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,19 +33,25 @@ from pyspark.sql import functions as F
 
 from packetry.functions.lexicon import distance, key_of
 from packetry.functions.text import absent, fold, is_absent
-from packetry.operators.fill import entry_of
+from packetry.llm.canonical import match_udf
 from packetry.runtime import cut
 
 #: Edits allowed in a family name, and segments it is cut into.
 K = 2
-#: A token is taken for a given name by usage if it opens at least this share of all names: at most 1 / share tokens.
-GIVEN_SHARE = 1e-4
-#: Most nickname pairs learned from names that show both.
-MAX_NICKNAMES = 20_000
+#: A token is taken for a given name by usage if it opens names of so many cases, at any size of the corpus.
+LEAST_OPENINGS = 5
+#: A token so many times rarer than a given name within a slip of it is that name.
+RARER = 5
+#: Most short forms, nicknames or given names in use that are held on the driver; more are refused.
+MAX_LISTED = 500_000
 
 # Titles and endings that are no part of a name.
 TITLES = {"rev", "dr", "mx", "mr", "mrs", "ms", "hon", "envoy", "esq", "jr", "sr", "ii", "iii", "iv", "prof", "sir", "capt"}
 
+# Letters that scans run together or confuse, and what they become.
+SCAN_PAIRS = (("rn", "m"), ("ri", "n"), ("cl", "d"), ("vv", "w"))
+SCAN_LETTERS = ("0158ciq", "olsbelg")
+
 #: A given name with a nickname after it; possessive and anchored at word starts, so that long words take linear time.
 _NICK = r'(?<!\p{L})(\p{L}++)\s+["(](\p{L}++)[")]'
 
@@ -58,6 +70,19 @@ def _deletions(s: str, n: int) -> set[str]:
     return out
 
 
+def scan_fold(s: str) -> str:
+    """Letters with those that scans confuse made one."""
+    for a, b in SCAN_PAIRS:
+        s = s.replace(a, b)
+    return s.translate(str.maketrans(*SCAN_LETTERS))
+
+
+def _scan_fold(c: Column) -> Column:
+    for a, b in SCAN_PAIRS:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return F.translate(c, *SCAN_LETTERS)
+
+
 def _edits(token: str) -> int:
     return 2 if len(token) >= 7 else 1
 
@@ -68,30 +93,47 @@ class Givens:
     def __init__(self, listed: list[tuple[str, str]], usage: list[tuple[str, int]], nicknames: list[tuple[str, str]]):
         self.short: dict[str, set[str]] = {}
         self.names: dict[str, int] = {}
-        for given, short in [*listed, *nicknames]:
-            g, s = _letters(fold(given or "")), _letters(fold(short or ""))
-            if g and s and g != s:
-                self.short.setdefault(s, set()).add(g)
-        for given, _ in listed:
-            if g := _letters(fold(given or "")):
-                self.names.setdefault(g, 1 << 30)
         self.index: dict[str, set[str]] = {}
+        self.scans: dict[str, set[str]] = {}
+        plain = lambda pairs: [(g, s) for g, s in ((_letters(fold(a or "")), _letters(fold(b or ""))) for a, b in pairs) if g]
+        used: Counter[str] = Counter()
+        for token, n in usage:
+            used[token] += n
+        for g, s in plain(listed):
+            self.names.setdefault(g, used[g])
+            if s and g != s:
+                self.short.setdefault(s, set()).add(g)
         for g in self.names:
             self._add(g)
-        for s, of in self.short.items():
-            if len(s) >= 4 and len(of) == 1 and s not in self.names:
-                for d in _deletions(s, 1):
-                    self.index.setdefault(d, set()).add(s)
-        for token, n in sorted(usage, key=lambda x: (-x[1], x[0])):
-            if token in self.names or token in self.short or len(token) < 3:
+        shown = {s for _, s in plain(nicknames) if s} | set(self.short)
+        near_shown: dict[str, set[str]] = {}
+        for s in shown:
+            for key in (*_deletions(s, 1), scan_fold(s)):
+                near_shown.setdefault(key, set()).add(s)
+        for token, n in sorted(used.items(), key=lambda x: (-x[1], x[0])):
+            if token in self.names or token in shown or len(token) < 3:
                 continue
-            if any(self.names.get(g, 0) >= 5 * n and distance(token, g, 1) <= 1 for g in self._near(token)):
+            like = self._near(token).union(*(near_shown.get(d, ()) for d in _deletions(token, 1)))
+            like = {g for g in like if distance(token, g, 1) <= 1} | self.scans.get(scan_fold(token), set()) | near_shown.get(scan_fold(token), set())
+            if any(used[g] >= RARER * n for g in like):
                 continue  # a slip that occurs often
             self.names[token] = n
             self._add(token)
+        self.longest = max(map(len, self.names), default=0)
+        for g, s in plain(nicknames):  # a slip of a given name shows the nickname of that name
+            owner = [g] if g in self.names else self.meant(g)
+            if s and len(owner) == 1 and owner[0] != s:
+                self.short.setdefault(s, set()).add(owner[0])
+        for s, of in self.short.items():
+            if len(s) >= 4 and len(of) == 1 and s not in self.names:
+                self.scans.setdefault(scan_fold(s), set()).add(s)
+                for d in _deletions(s, 1):
+                    self.index.setdefault(d, set()).add(s)
         self.ordered = sorted(self.names)
+        self.longest = max(map(len, [*self.names, *self.short]), default=0)
 
     def _add(self, g: str) -> None:
+        self.scans.setdefault(scan_fold(g), set()).add(g)
         for d in _deletions(g, _edits(g)):
             self.index.setdefault(d, set()).add(g)
 
@@ -112,13 +154,15 @@ class Givens:
             return [token]
         if token in self.short:
             return sorted(self.short[token])
-        if len(token) < 3 or len(token) > 40:
+        if len(token) < 3 or len(token) > self.longest + 2:  # longer ones are near none
             return []
-        near: dict[int, list[str]] = {}
+        near: dict[int, set[str]] = {}
+        if scans := self.scans.get(scan_fold(token)):
+            near[1] = set(scans)
         for g in self._near(token):
             d = distance(token, g, _edits(g))
             if d <= _edits(g):
-                near.setdefault(d, []).append(g)
+                near.setdefault(d, set()).add(g)
         return sorted({x for g in near[min(near)] for x in ([g] if g in self.names else self.short[g])}) if near else []
 
 
@@ -208,27 +252,35 @@ class Reader:
         return out
 
 
+def _listed(df: DataFrame) -> list[tuple]:
+    """Rows of a closed list; one beyond MAX_LISTED is refused."""
+    rows = [tuple(r) for r in df.limit(MAX_LISTED + 1).collect()]
+    if len(rows) > MAX_LISTED:
+        raise ValueError(f"a list of more than {MAX_LISTED} names is not held on the driver")
+    return rows
+
+
 def learn(names: DataFrame, aliases: DataFrame) -> tuple:
     """What Givens needs: the listed short forms, opening tokens by usage, and nicknames that names show beside the given name.
 
-    Counts are over all distinct (case, name); what comes to the driver is bounded by GIVEN_SHARE and MAX_NICKNAMES.
+    Counts are over all distinct (case, name).
     """
-    listed = [tuple(r) for r in aliases.select("given_name", "short_name").where("given_name is not null").limit(100_000).collect()]
+    listed = _listed(aliases.select("given_name", "short_name").where("given_name is not null").distinct())
     plain = names.where(~F.col("name").contains(","))
     bare = F.regexp_replace(F.lower("name"), r'"[^"]*"|\([^)]*\)', " ")
     bare = F.regexp_replace(bare, r"(^|\s)(" + "|".join(sorted(TITLES)) + r")[.]?(?=\s|$)", " ")
     words = F.filter(F.split(F.trim(bare), r"\s+"), lambda w: (F.length(w) > 0) & ~w.endswith("."))
-    ends = plain.select(words.alias("w")).where(F.size("w").between(2, 6))
-    tokens = ends.select(F.inline(F.array(F.struct(F.get("w", F.lit(0)).alias("token"), F.lit(1).alias("opens"), F.lit(0).alias("closes")), F.struct(F.element_at("w", -1).alias("token"), F.lit(0).alias("opens"), F.lit(1).alias("closes")))))
-    total = names.count()
-    least = max(3, int(total * GIVEN_SHARE))
-    used = tokens.groupBy("token").agg(F.sum("opens").alias("opens"), F.sum("closes").alias("closes")).where((F.col("opens") >= least) & (F.col("opens") > 2 * F.col("closes")))
-    usage = [(_letters(fold(r["token"])), r["opens"]) for r in used.select("token", "opens").collect()]
+    ends = plain.select("case_id", words.alias("w")).where(F.size("w") >= 2)
+    place = lambda at, opens: F.struct(at.alias("token"), F.lit(opens).alias("opens"), F.lit(1 - opens).alias("closes"))
+    tokens = ends.select("case_id", F.inline(F.array(place(F.get("w", F.lit(0)), 1), place(F.element_at("w", -1), 0))))
+    tokens = tokens.groupBy("token", "case_id").agg(F.sum("opens").alias("opens"), F.sum("closes").alias("closes"))
+    used = tokens.groupBy("token").agg(F.sum("opens").alias("opens"), F.sum("closes").alias("closes"), F.count_if(F.col("opens") > 0).alias("cases"))
+    used = used.where((F.col("cases") >= LEAST_OPENINGS) & (F.col("opens") > 2 * F.col("closes")))
+    usage = [(_letters(fold(t)), n) for t, n in _listed(used.select("token", "opens"))]
     nick = names.select(F.regexp_extract("name", _NICK, 1).alias("g"), F.regexp_extract("name", _NICK, 2).alias("s"))
     nick = nick.where("length(g) > 2 and length(s) > 1 and lower(s) <> 'applicant'").groupBy(F.lower("g").alias("g"), F.lower("s").alias("s")).agg(F.count("*").alias("n")).where("n >= 2")
-    pairs = [(r["g"], r["s"]) for r in nick.orderBy(F.desc("n"), "g", "s").limit(MAX_NICKNAMES).collect()]
     known = {t for t, _ in usage} | {_letters(fold(g)) for g, _ in listed}
-    return listed, usage, [(g, s) for g, s in pairs if _letters(fold(g)) in known]
+    return listed, usage, sorted((g, s) for g, s in _listed(nick.select("g", "s")) if _letters(fold(g)) in known)
 
 
 def forms_udf(learned: tuple):
@@ -263,7 +315,9 @@ def case_attributes(records: DataFrame, lexicon_rows: list[tuple]) -> DataFrame:
     cells = []
     for f in ("species_code", "home_world"):
         c = F.col(f)
-        entry = entry_of(c, lexicon_rows, f)
+        names = [x for e, field, canonical, *_ in lexicon_rows if field == f for x in (F.lit(canonical), F.lit(int(e)))]
+        known = F.try_element_at(F.create_map(*names), c).cast("int") if names else F.lit(None).cast("int")
+        entry = F.nullif(F.coalesce(known, match_udf(lexicon_rows, f)(F.when(known.isNull() & ~absent(c), c))), F.lit(0))
         cells.append(F.struct(F.lit(f).alias("field"), entry.alias("entry"), F.when(entry.isNull() & ~absent(c), c).alias("odd")))
     rows = records.where("case_id is not null").select("case_id", F.inline(F.array(*cells))).where("entry is not null or odd is not null")
     value = F.when(F.col("entry").isNotNull(), F.concat(F.lit("e:"), F.col("entry").cast("string"))).otherwise(F.concat(F.lit("r:"), key_udf()("odd")))
@@ -280,44 +334,48 @@ def near(a: Column, b: Column, long: int = 10) -> Column:
     return F.when(shortest >= long, edits >= 0).when(shortest >= 4, edits.isin(0, 1) | ((edits == 2) & swapped)).otherwise(a == b)
 
 
+def alike(a: Column, b: Column, rare: Column) -> Column:
+    """Family names that can be one: near as written or as scans read them, or, if rare, within k edits from five letters on."""
+    short = rare & (F.least(F.length(a), F.length(b)) >= 5) & (F.levenshtein(a, b, K) >= 0)
+    return near(a, b) | short | near(_scan_fold(a), _scan_fold(b))
+
+
 def _agree(a: Column, b: Column) -> Column:
     """Attributes that can be the same: equal, unlisted ones within two edits, or one of them unknown."""
     odd = a.startswith("r:") & b.startswith("r:") & (F.levenshtein(a, b, 2) >= 0)
     return a.isNull() | b.isNull() | (a == b) | odd
 
 
-def _signature(block: Column, given: Column, size: Column, i: int, segment: Column) -> Column:
-    return F.xxhash64(block, given, size, F.lit(i), segment)
+def _bound(size: Column, i: Column) -> Column:
+    return F.floor(size * i / (K + 1)).cast("int")
 
 
-def _bounds(size: Column, i: int) -> tuple[Column, Column]:
-    return F.floor(size * i / (K + 1)).cast("int"), F.floor(size * (i + 1) / (K + 1)).cast("int")
+def index_rows(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns keep and a key for each address and each of the k + 1 segments of the family name."""
+    segments = F.array(*[F.struct(F.lit(i).alias("i")) for i in range(K + 1)])
+    size, i = F.length("family"), F.col("i")
+    out = rows.select("*", F.explode("index").alias("address")).select("*", F.inline(segments))
+    segment = F.substr(F.col("family"), _bound(size, i) + 1, _bound(size, i + 1) - _bound(size, i))
+    return out.select(*keep, F.xxhash64("address", size, "i", segment).alias("key"))
 
 
-def index_keys(block: Column, given: Column, family: Column) -> list[Column]:
-    """Signatures of the k + 1 segments of a family name."""
-    size = F.length(family)
-    out = []
-    for i in range(K + 1):
-        a, b = _bounds(size, i)
-        out.append(_signature(block, given, size, i, F.substr(family, a + 1, b - a)))
-    return out
+def probe_rows(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns keep and a key for each address and each position-shifted substring that a family name within k edits would share.
+
+    Names that are indexed at the same address themselves look only for names that are not longer; the column both_ways tells the others.
+    """
+    ways = [(gap, i, shift) for gap in range(-K, K + 1) for i in range(K + 1) for shift in range(-K, K + 1) if abs(shift) + abs(gap - shift) <= K]
+    places = F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for g, i, x in ways])
+    out = rows.select("*", F.explode("probe").alias("address")).select("*", F.inline(places)).where("gap >= 0 or both_ways")
+    size, i = F.length("family"), F.col("i")
+    other = size - F.col("gap")
+    at, n = _bound(other, i) + F.col("shift"), _bound(other, i + 1) - _bound(other, i)
+    out = out.withColumns({"other": other, "at": at, "n": n}).where("other > 0 and at >= 0 and at + n <= length(family)")
+    return out.select(*keep, F.xxhash64("address", "other", "i", F.substr(F.col("family"), F.col("at") + 1, F.col("n"))).alias("key"))
 
 
-def probe_keys(block: Column, given: Column, family: Column, longer: bool = False) -> list[Column]:
-    """Signatures of the position-shifted substrings that a family name within k edits, not longer (or also longer), would share."""
-    size = F.length(family)
-    out = []
-    for gap in range(-K if longer else 0, K + 1):  # how much longer than the indexed name
-        other = size - gap
-        for i in range(K + 1):
-            a, b = _bounds(other, i)
-            for shift in range(-K, K + 1):
-                if abs(shift) + abs(gap - shift) <= K:
-                    at = a + shift
-                    inside = (other > 0) & (at >= 0) & (at + (b - a) <= size)
-                    out.append(F.when(inside, _signature(block, given, other.cast("int"), i, F.substr(family, at + 1, b - a))))
-    return out
+def _address(*parts: Column) -> Column:
+    return F.xxhash64(*parts)
 
 
 def _blocks(species: Column, world: Column) -> tuple[Column, Column, Column]:
@@ -332,12 +390,99 @@ def _firm() -> Column:
     return (F.col("kind") != WEAK) & F.col("species").isNotNull() & F.col("world").isNotNull()
 
 
+def _some(cond: Column, key: Column) -> Column:
+    return F.when(cond, key)
+
+
+def addressed(reps: DataFrame, among_loose: bool = False) -> DataFrame:
+    """Representatives, and parts of their double names, with the addresses where they are indexed and where they look.
+
+    A full given name is an address of its block; an unread or short one looks at the address of its initial. A representative that
+    lacks an attribute looks in the block of the other, where all are indexed. Firm ones look for firm ones, loose ones for firm ones
+    (for each other if among_loose, where full names without species also meet those without home world).
+    """
+    full, by_species, by_world = _blocks(F.col("species"), F.col("world"))
+    has_s, has_w = F.col("species").isNotNull(), F.col("world").isNotNull()
+    both, firm, weak, raw = has_s & has_w, _firm(), F.col("kind") == WEAK, F.col("kind") == RAW
+    initial = F.concat(F.lit("~"), F.substring("given", 1, 1))
+    own = F.when(raw, initial).otherwise(F.col("given"))
+    single = F.coalesce(F.when(~has_w, by_species), by_world)
+    named = lambda block, cond, g: _some(cond, _address(block, g))
+    indexed = [named(full, both & ~weak, own), named(full, both, initial)]
+    indexed += [named(b, has & (~weak if g is own else F.lit(True)), g) for b, has in ((by_species, has_s), (by_world, has_w)) for g in (own, initial)]
+    look = [named(full, both & ~weak, own), named(full, both & weak, initial), named(single, ~both & ~weak, own), named(single, ~both & weak, initial)]
+    if among_loose:  # no block has both attributes unknown
+        indexed.append(named(F.lit("anywhere"), ~weak & has_s, own))
+        look += [named(F.lit("anywhere"), ~weak & ~has_s, own), named(single, ~both, initial)]
+    is_index = F.lit(True) if among_loose else firm
+    odd = lambda c: F.when(F.col(c).startswith("r:"), F.col(c))
+    rows = reps.select(
+        "rep", "given", "family", "kind", "parts", "usual", odd("species").alias("species"), odd("world").alias("world"), firm.alias("firm"),
+        F.when(is_index, F.array_distinct(F.array_compact(F.array(*indexed)))).alias("index"), F.array_distinct(F.array_compact(F.array(*look))).alias("probe"),
+        # Firm readings with a full given name look where they are indexed; all others must look both ways.
+        (~firm | raw | F.lit(among_loose)).alias("both_ways"),
+    )
+    parts = rows.withColumn("family", F.explode("parts")).where(F.length("family") >= 4).withColumn("part", F.lit(True))
+    return rows.withColumn("part", F.lit(False)).unionByName(parts).drop("parts")
+
+
+def _joined(probe: DataFrame, index: DataFrame, cols: list[str]) -> DataFrame:
+    """Pairs (a_..., b_...) of rows that share a segment key and are not both parts: a looks, b is indexed."""
+    named = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") for c in cols], "key")
+    pairs = named(probe_rows(probe, cols), "a").join(named(index_rows(index, cols), "b"), "key")
+    pairs = pairs.where((F.col("a_rep") != F.col("b_rep")) & ~(F.col("a_part") & F.col("b_part")))
+    return pairs.where(_agree(F.col("a_species"), F.col("b_species")) & _agree(F.col("a_world"), F.col("b_world")))
+
+
+def candidates(left: DataFrame, right: DataFrame, both: bool) -> DataFrame:
+    """Pairs (a_..., b_...) of rows (rep, species, world, given, family, part, g) with near family names: left looks, right is indexed.
+
+    g is the key a given name must share; both tells that every row of left is indexed too. A row with both attributes looks in its
+    block, one that lacks an attribute in the block of the other, where all are indexed.
+    """
+    full, by_species, by_world = _blocks(F.col("species"), F.col("world"))
+    complete, g = F.col("species").isNotNull() & F.col("world").isNotNull(), F.col("g")
+    single = F.coalesce(F.when(F.col("world").isNull(), by_species), by_world)
+    look = F.array_compact(F.array(F.when(full.isNotNull(), _address(full, g)), F.when(~complete & single.isNotNull(), _address(single, g))))
+    held = F.array_compact(F.array(*[F.when(b.isNotNull(), _address(b, g)) for b in (full, by_species, by_world)]))
+    cols = ["rep", "species", "world", "given", "family", "part"]
+    one_part = F.col("a_part") | F.col("b_part")
+    close = F.when(one_part, F.levenshtein("a_family", "b_family", 1) >= 0).otherwise(near(F.col("a_family"), F.col("b_family")))
+    return _joined(left.withColumn("probe", look).withColumn("both_ways", ~complete | F.lit(not both)), right.withColumn("index", held), cols).where(close)
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """Verified pairs of representatives as addressed() gives them, with the edits d of the family names, one more for a part.
+
+    Pairs of given names are left to the caller, who finds both with their kinds.
+    """
+    pairs = _joined(rows, rows.where("index is not null"), ["rep", "given", "family", "kind", "usual", "species", "world", "firm", "part"])
+    a, b = F.col("a_family"), F.col("b_family")
+    part = F.when(F.least(F.length(a), F.length(b)) >= 6, F.levenshtein(a, b, 1) >= 0).otherwise(a == b)
+    pairs = pairs.where(F.when(F.col("a_part") | F.col("b_part"), part).otherwise(alike(a, b, ~F.col("a_usual") & ~F.col("b_usual"))))
+    d = F.levenshtein(a, b) + (F.col("a_part") | F.col("b_part")).cast("int")
+    keep = [F.col(f"{x}_{c}") for x in "ab" for c in ("rep", "given", "kind", "firm")]
+    return pairs.select(*keep, F.least(d, F.lit(9)).alias("d"))
+
+
+def one_given(d: Column) -> Column:
+    """Whether the full given names of a pair can be one: near, or an unread one within two edits of the other beside equal family names."""
+    a, b = F.col("a_given"), F.col("b_given")
+    unread = (F.col("a_kind") == RAW) | (F.col("b_kind") == RAW)
+    first = F.substring(a, 1, 1) == F.substring(b, 1, 1)
+    return near(a, b) | (unread & first & ((F.levenshtein(_scan_fold(a), _scan_fold(b), 1) >= 0) | ((d == 0) & (F.levenshtein(a, b, 2) >= 0))))
+
+
 def representatives(records: DataFrame, aliases: DataFrame, lexicon_rows: list[tuple]) -> tuple[DataFrame, DataFrame]:
-    """(members(case_id, rep, firm), reps(rep, species, world, given, family, kind, parts))."""
+    """(members(case_id, rep, firm), reps(rep, species, world, given, family, kind, parts, usual)).
+
+    usual tells a family name that full given names of more than one kind bear.
+    """
     rows = records.where("case_id is not null")
-    own = rows.where(~absent(F.col("applicant_name"))).groupBy("case_id", F.col("applicant_name").alias("name")).agg(F.count("*").alias("n")).withColumn("letter", F.lit(False)).withColumn("calm", F.lit(True))
-    letters = rows.where(~absent(F.col("sponsor_letter_name"))).groupBy("case_id", F.col("sponsor_letter_name").alias("name")).agg(F.count("*").alias("n"), F.bool_and(~F.coalesce("identity_conflict", F.lit(False))).alias("calm")).withColumn("letter", F.lit(True))
-    names = cut(own.unionByName(letters))
+    calm = ~F.coalesce("identity_conflict", F.lit(False))
+    written = F.array(F.struct(F.col("applicant_name").alias("name"), F.lit(False).alias("letter"), F.lit(True).alias("calm")), F.struct(F.col("sponsor_letter_name").alias("name"), F.lit(True).alias("letter"), calm.alias("calm")))
+    names = rows.select("case_id", F.inline(written)).where(~absent(F.col("name")))
+    names = cut(names.groupBy("case_id", "name", "letter").agg(F.count("*").alias("n"), F.bool_and("calm").alias("calm")))
     learned = learn(names.where("not letter"), aliases)
     read = names.withColumn("f", F.explode(forms_udf(learned)("name"))).select("case_id", "n", "letter", "calm", "f.*")
     forms = cut(read.groupBy("case_id", "letter", "given", "family", "kind").agg(F.sum("n").alias("n"), F.bool_and("calm").alias("calm"), F.first("parts").alias("parts")))
@@ -351,33 +496,11 @@ def representatives(records: DataFrame, aliases: DataFrame, lexicon_rows: list[t
     who = kept.join(case_attributes(records, lexicon_rows), "case_id").where("species is not null or world is not null")
     who = cut(who.withColumn("rep", F.xxhash64("species", "world", "given", "family", "kind")))
     reps = who.groupBy("rep").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("species", "world", "given", "family", "kind", "parts")])
+    usual = reps.where(F.col("kind") == STRONG).groupBy("family").agg((F.min("given") != F.max("given")).alias("usual"))
+    reps = reps.join(usual, "family", "left").withColumn("usual", F.coalesce("usual", F.lit(False)))
     return who.select("case_id", "rep", _firm().alias("firm")), reps
 
 
-def candidates(left: DataFrame, right: DataFrame, both: bool) -> DataFrame:
-    """Verified pairs (a, b) of rows (rep, species, world, g, given, family, part): probes of left against the index of right.
-
-    g is the key a given name must share. A representative with both attributes looks in its block; one that lacks an attribute looks
-    in the block of the other, where all are indexed.
-    """
-    cols = ["rep", "species", "world", "given", "family", "part"]
-    full, by_species, by_world = _blocks(F.col("species"), F.col("world"))
-    complete = F.col("species").isNotNull() & F.col("world").isNotNull()
-    g, fam = F.col("g"), F.col("family")
-    none = F.lit(None).cast("bigint")
-    keep = lambda cond, keys: [F.when(cond, k).otherwise(none) for k in keys]
-    index = [*keep(complete, index_keys(full, g, fam)), *keep(F.col("species").isNotNull(), index_keys(by_species, g, fam)), *keep(F.col("world").isNotNull(), index_keys(by_world, g, fam))]
-    single = F.coalesce(F.when(F.col("world").isNull(), by_species), by_world)
-    probe = [*keep(complete, probe_keys(full, g, fam, longer=not both)), *keep(~complete, probe_keys(single, g, fam, longer=True))]
-    indexed = right.select(*[F.col(c).alias(f"b_{c}") for c in cols], F.explode(F.array_compact(F.array_distinct(F.array(*index)))).alias("key"))
-    probed = left.select(*[F.col(c).alias(f"a_{c}") for c in cols], F.explode(F.array_compact(F.array_distinct(F.array(*probe)))).alias("key"))
-    pairs = probed.join(indexed, "key").where((F.col("a_rep") != F.col("b_rep")) & ~(F.col("a_part") & F.col("b_part")))
-    one_part = F.col("a_part") | F.col("b_part")
-    close = F.when(one_part, F.levenshtein("a_family", "b_family", 1) >= 0).otherwise(near(F.col("a_family"), F.col("b_family")))
-    pairs = pairs.where(close & _agree(F.col("a_species"), F.col("b_species")) & _agree(F.col("a_world"), F.col("b_world")))
-    return pairs
-
-
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, comp) of the connected components of edges(a, b), by rounds of least neighbours and pointer jumping."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
@@ -395,38 +518,36 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _ends() -> list[Column]:
+    return [F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")]
+
+
+def _star(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(hub(case_id, hub), edges(a, b)) that tie the representatives of a case together."""
+    hub = members.groupBy("case_id").agg(F.min("rep").alias("hub"))
+    return hub, members.join(hub, "case_id").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+
+
 def linked(records: DataFrame, aliases: DataFrame, lexicon_rows: list[tuple]) -> DataFrame:
     """(case_id, applicant): the cases of one applicant share the number."""
     members, reps = representatives(records, aliases, lexicon_rows)
     reps = cut(reps)
-    given_key = F.when(F.col("kind") == RAW, F.concat(F.lit("~"), F.substring("given", 1, 1))).otherwise(F.col("given"))
-    initial = F.substring("given", 1, 1)
-    whole = lambda df, g: df.select("rep", "species", "world", "given", "family", F.lit(False).alias("part"), g.alias("g"))
-    firm, loose = reps.where(_firm()), reps.where(~_firm())
-    pieces = lambda df: df.withColumn("family", F.explode("parts")).where(F.length("family") >= 6)
-    spelled = lambda df, g: whole(df, g).unionByName(whole(pieces(df), g).withColumn("part", F.lit(True)))
-    names = cut(spelled(firm, given_key))
-    links = candidates(names, names, True).where(near(F.col("a_given"), F.col("b_given")))
-    edges = links.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
-    strong = members.where("firm")
-    hub = strong.groupBy("case_id").agg(F.min("rep").alias("hub"))
-    star = strong.join(hub, "case_id").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    comps = components(edges.union(star))
+    found = cut(met(addressed(reps)))
+    weak_pair = F.col("a_kind") == WEAK
+    links = found.where(F.col("a_firm") & F.col("b_firm") & one_given(F.col("d")))
+    hub, star = _star(members.where("firm"))
+    comps = components(links.select(*_ends()).distinct().union(star))
     certain = cut(hub.join(comps, hub["hub"] == comps["node"]).select("case_id", "comp"))
-    weak = members.join(certain, "case_id", "left_anti")
+    weak = cut(members.join(certain, "case_id", "left_anti").select("case_id", "rep"))
     # Cases without a firm representative join the one applicant that fits best; they never bridge two applicants.
-    loose = cut(loose.join(weak.select("rep").distinct(), "rep", "left_semi"))
-    by_initial = candidates(spelled(loose.where(F.col("kind") == WEAK), initial), names.withColumn("g", initial), False).where(_opens("a_given", "b_given"))
-    by_given = candidates(spelled(loose.where(F.col("kind") != WEAK), given_key), names, False).where(near(F.col("a_given"), F.col("b_given")))
-    one_part = (F.col("a_part") | F.col("b_part")).cast("int")
-    fit = by_initial.unionByName(by_given).select(F.col("a_rep").alias("rep"), F.col("b_rep").alias("node"), (F.levenshtein("a_family", "b_family") + one_part).alias("d"))
+    fit = found.where(~F.col("a_firm") & F.when(weak_pair, _opens("a_given", "b_given")).otherwise(one_given(F.col("d")))).select(F.col("a_rep").alias("rep"), F.col("b_rep").alias("node"), "d")
     fit = fit.join(comps, "node").groupBy("rep", "comp").agg(F.min("d").alias("d"))
     fit = cut(weak.join(fit, "rep").groupBy("case_id", "comp").agg(F.min("d").alias("d")))
     best = fit.groupBy("case_id").agg(F.min("d").alias("d"))
-    chosen = cut(fit.join(best, ["case_id", "d"]).groupBy("case_id").agg(F.min("comp").alias("comp"), F.max("comp").alias("last")).where("comp = last").select("case_id", "comp"))
+    chosen = fit.join(best, ["case_id", "d"]).groupBy("case_id").agg(F.min("comp").alias("comp"), F.max("comp").alias("last")).where("comp = last").select("case_id", "comp")
+    chosen = cut(chosen)
     rest = cut(weak.join(chosen, "case_id", "left_anti").select("case_id", "rep"))
-    loose = cut(loose.join(rest.select("rep").distinct(), "rep", "left_semi"))
-    alone = among_loose(rest, loose, spelled(loose, initial), spelled(loose.where(F.col("kind") != WEAK), given_key))
+    alone = among_loose(rest, cut(reps.join(rest.select("rep").distinct(), "rep", "left_semi")))
     return certain.unionByName(chosen).unionByName(alone).select("case_id", F.col("comp").alias("applicant"))
 
 
@@ -437,24 +558,19 @@ def _opens(short: str, given: str) -> Column:
     return F.col(given).startswith(F.col(short)) | ((size >= 3) & (start(size) | start(size - 1)))
 
 
-def among_loose(rest: DataFrame, loose: DataFrame, by_initial: DataFrame, by_given: DataFrame) -> DataFrame:
+def among_loose(rest: DataFrame, loose: DataFrame) -> DataFrame:
     """(case_id, comp) of the cases that fit no applicant with a firm representative, linked among themselves.
 
     Representatives that lack the same are joined for certain. Links between others count only if all that they connect agrees in
     species, home world and given name; else the certain parts stay apart.
     """
-    a_short, b_short = _opens("a_given", "b_given"), _opens("b_given", "a_given")
-    # No blocks have both attributes unknown: who lacks the species and who lacks the home world meet by their full names.
-    anywhere = lambda lacks: by_given.where(F.col(lacks).isNull()).withColumns({"species": F.lit("*"), "world": F.lit("*")})
-    by_name = candidates(by_given, by_given, False).unionByName(candidates(anywhere("species"), anywhere("world"), False)).where(near(F.col("a_given"), F.col("b_given")))
-    ends = lambda df: df.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
-    lacks = lambda p: loose.select(F.col("rep").alias(p), F.struct(F.col("kind") == WEAK, (F.col("kind") == WEAK) & (F.length("given") == 1), F.col("species").isNull(), F.col("world").isNull()).alias(f"{p}_lacks"), (F.col("kind") == WEAK).alias(f"{p}_weak"))
-    met = candidates(by_initial, by_initial, False).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"), a_short.alias("a_opens"), b_short.alias("b_opens")).where("a_opens or b_opens")
-    met = met.join(lacks("a"), "a").join(lacks("b"), "b").where("(a_weak and a_opens) or (b_weak and b_opens)").select("a", "b")
-    found = met.unionByName(ends(by_name)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    weak = lambda p: F.col(f"{p}_kind") == WEAK
+    opens = (weak("a") & _opens("a_given", "b_given")) | (weak("b") & _opens("b_given", "a_given"))
+    found = met(addressed(loose, among_loose=True)).where(F.when(weak("a") | weak("b"), opens).otherwise(one_given(F.col("d")))).select(*_ends()).distinct()
+    lacks = lambda p: loose.select(F.col("rep").alias(p), F.struct(F.col("kind") == WEAK, (F.col("kind") == WEAK) & (F.length("given") == 1), F.col("species").isNull(), F.col("world").isNull()).alias(f"{p}_lacks"))
     edges = cut(found.join(lacks("a"), "a").join(lacks("b"), "b").select("a", "b", (F.col("a_lacks") == F.col("b_lacks")).alias("sure")))
-    hub = rest.groupBy("case_id").agg(F.min("rep").alias("hub"))
-    star = rest.join(hub, "case_id").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    hub, star = _star(rest)
+    star = cut(star)
     parts = components(edges.where("sure").select("a", "b").union(star)).withColumnRenamed("comp", "part")
     wide = components(edges.select("a", "b").union(star))
     key = F.when(F.col("kind") == STRONG, F.col("given")).when(F.col("kind") == RAW, F.concat(F.lit("~"), F.substring("given", 1, 1)))
@@ -463,8 +579,8 @@ def among_loose(rest: DataFrame, loose: DataFrame, by_initial: DataFrame, by_giv
     shared = keys.groupBy("comp", "key").agg(F.countDistinct("part").alias("n")).groupBy("comp").agg(F.max("n").alias("shared"))
     named = keys.groupBy("comp").agg(F.countDistinct("part").alias("named"))
     raw, opening = F.when(F.col("kind") == RAW, F.col("given")), F.when(F.length("given") > 1, F.substring("given", 1, 2))
-    alike = F.coalesce(near(F.min(raw), F.max(raw)), F.lit(True)) & (~F.bool_or((F.col("kind") == WEAK) & (F.length("given") > 1)) | (F.min(opening) == F.max(opening)))
-    agree = nodes.groupBy("comp").agg((_agree(F.min("species"), F.max("species")) & _agree(F.min("world"), F.max("world")) & alike).alias("agree"))
+    same = F.coalesce(near(F.min(raw), F.max(raw)), F.lit(True)) & (~F.bool_or((F.col("kind") == WEAK) & (F.length("given") > 1)) | (F.min(opening) == F.max(opening)))
+    agree = nodes.groupBy("comp").agg((_agree(F.min("species"), F.max("species")) & _agree(F.min("world"), F.max("world")) & same).alias("agree"))
     ok = agree.join(shared, "comp", "left").join(named, "comp", "left").select("comp", (F.col("agree") & F.coalesce(F.col("shared") == F.col("named"), F.lit(True))).alias("ok"))
     final = nodes.join(ok, "comp").select(F.col("node").alias("hub"), F.when(F.col("ok"), F.col("comp")).otherwise(F.col("part")).alias("comp"))
     return hub.join(final, "hub").select("case_id", "comp")

@@ -294,3 +294,95 @@ def test_queries_have_the_stated_columns(spark):
     assert queries.p4_found(spark, DATA).dtypes == [("record_id", "bigint"), ("field_name", "string"), ("entry_id", "bigint")]
     assert queries.p6_found(spark, DATA).dtypes == [("case_id", "string"), ("field_name", "string"), ("kept_value", "string")]
     assert queries.p9_found(spark, DATA).dtypes == [("doc_id", "bigint"), ("segment_no", "int"), ("lang", "string")]
+
+
+def test_given_names_in_use_do_not_depend_on_the_size_of_the_corpus(spark):
+    rng = random.Random(8)
+    few = [("rarity", f"Rarity Family{i}") for i in range(6)]
+    rows = [(f"C{i}", name) for i, (_, name) in enumerate(few)]
+    many = rows + [(f"D{i}", f"{rng.choice(['Anselm', 'Bertil', 'Cosima'])} Other{i}") for i in range(30_000)]
+    aliases = spark.createDataFrame([("Anselm", "Ans")], "given_name string, short_name string")
+    for part in (rows, many):
+        learned = names.learn(spark.createDataFrame(part, "case_id string, name string"), aliases)
+        assert "rarity" in names.Givens(*learned).names
+
+
+def test_a_slip_that_occurs_often_is_no_given_name():
+    usage = [("rabond", 400), ("raborid", 40), ("rabodn", 20), ("sabond", 300)]
+    g = names.Givens([("Rabond", "Rab")], usage, [("rabodn", "Rabkin")])
+    assert sorted(g.names) == ["rabond", "sabond"] and g.meant("raborid") == g.meant("rabodn") == g.meant("rabkin") == g.meant("rabkn") == ["rabond"]
+
+
+def test_long_tokens_and_names_of_many_words_are_read():
+    long = "x" * 30 + "abcdefghijklmn"
+    reader = names.Reader(names.Givens([(long, None)], [], []))
+    assert reader.forms(f"{long[:-1]} Virfoash")[0][:3] == (long, "virfoash", 0)
+    assert reader.forms(f"{long} a b c d e f Virfoash")[0][0] == long
+
+
+def test_closed_lists_are_refused_beyond_their_bound(spark, monkeypatch):
+    monkeypatch.setattr(names, "MAX_LISTED", 2)
+    aliases = spark.createDataFrame([("A", "a"), ("B", "b"), ("C", "c")], "given_name string, short_name string")
+    with pytest.raises(ValueError):
+        names.learn(spark.createDataFrame([("X", "A B")], "case_id string, name string"), aliases)
+
+
+def test_two_slips_link_rare_family_names_only(spark):
+    kin = [{"case_id": f"K{i}", "applicant_name": f"{g} {f}"} for i, (g, f) in enumerate((g, f) for g in ("Wofosie", "Sidrom") for f in ("Mavox", "Bevox"))]
+    rows = [{"case_id": "A", "applicant_name": "Pele Yaefoah"}, {"case_id": "B", "applicant_name": "Pele Yaaefoath"}, {"case_id": "C", "applicant_name": "Pele Zomskind"}, {"case_id": "D", "applicant_name": "Pele Zornskind"}, *kin]
+    assert link(spark, rows) == [("A", "B"), ("C", "D")]
+
+
+# Caps and models
+
+def test_all_targets_of_a_long_list_are_used(spark):
+    n = 1500
+    df = sizes(spark, [(i, f"s{i}", 10) for i in range(n)])
+    targets = spark.createDataFrame([(f"s{i}", 1 / n, 1) for i in range(n)], "source string, target_share double, max_repeats int")
+    assert mixing.rates(df, targets).count() == n and mixing.sampled(df, mixing.rates(df, targets)).count() == n
+
+
+def test_mixture_does_not_depend_on_the_bucket_size(spark, monkeypatch):
+    rng = random.Random(9)
+    df = sizes(spark, [(i, rng.choice("ab"), rng.randint(1, 300)) for i in range(5000)])
+    targets = spark.createDataFrame([("a", 0.3, 2), ("b", 0.4, 2)], "source string, target_share double, max_repeats int")
+    total = lambda: {s: n for s, n in mixing.sampled(df, mixing.rates(df, targets)).groupBy("source").agg(F.sum("copies")).collect()}
+    one = total()
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    assert total() == one
+
+
+def test_sources_without_rank_stay_out_whatever_their_number(spark):
+    table = spark.createDataFrame([(f"bad{i}", None) for i in range(40)] + [("good", 1)], "source_name string, trust_rank int")
+    rows = [{"case_id": "A", "sponsor_id": f"SPN-00{i:02d}", "field_sources": {"sponsor_id": f"bad{i}"}, "read_at": at(1)} for i in range(40)]
+    assert survivor.survivors(records(spark, rows), table).count() == 0
+    kept = survivor.survivors(records(spark, [*rows, {"case_id": "A", "sponsor_id": "SPN-9999", "field_sources": {"sponsor_id": "good"}}]), table)
+    assert got(kept, "kept_value") == [("SPN-9999",)]
+
+
+def test_the_model_decides_the_truths(spark, monkeypatch):
+    args = table(spark, DATA, "records"), table(spark, DATA, "source_trust")
+    with_model = set(got(survivor.truths(*args), "case_id", "field_name", "value"))
+    monkeypatch.setattr(survivor, "improved", lambda sums, n: survivor.start(n))
+    flat = set(got(survivor.truths(*args), "case_id", "field_name", "value"))
+    assert with_model != flat and with_model
+
+
+def test_rounds_on_the_cluster_are_those_on_the_driver(spark):
+    rng = random.Random(10)
+    rows = [(rng.choice(survivor.FIELDS), said := rng.randint(0, 15), said | rng.randint(0, 15), rng.randint(1, 50)) for _ in range(200)]
+    patterns = spark.createDataFrame(rows, "field string, said bigint, cover bigint, n bigint").groupBy("field", "said", "cover").agg(F.sum("n").alias("n"))
+    near, spread = survivor.fitted(patterns, 4, 5), survivor.fitted(patterns, 4, 5, most=10)
+    assert all(abs(a - b) < 1e-9 for f in survivor.FIELDS for x, y in zip(near[f][1:], spread[f][1:]) for a, b in zip(x, y))
+
+
+def test_foreign_texts_have_no_language(spark):
+    d = table(spark, DATA.replace("0.001", "0.01"), "documents")
+    f = language.fit(language.training_rows(d, 100))
+    foreign = ["Wczoraj wieczorem inspektor sprawdził dokumenty przyjezdnych na stacji kosmicznej.", "Dün akşam müfettiş istasyondaki yolcuların belgelerini dikkatle inceledi.", "Ο επιθεωρητής έλεγξε χθες τα έγγραφα των επισκεπτών στον σταθμό.", "Az ellenőr tegnap este átnézte az állomásra érkezett utasok iratait."]
+    assert [f.segments(t) for t in foreign] == [[(0, None, 0.0)]] * len(foreign)
+    en, de = "The night inspector copied the list of cargo without asking the applicant.", "Das Meldeamt verlor den Brief ohne den Antragsteller zu fragen."
+    assert [x[:2] for x in f.segments(f"{en}\n{foreign[0]}\n{de}")] == [(1, "en"), (2, None), (3, "de")]
+    df = spark.createDataFrame([(1, foreign[0], "en"), (2, de, "en")], "doc_id bigint, text string, lang string")
+    both = d.select("doc_id", "text", "lang").where("doc_id % 3 = 0").unionByName(df.withColumn("doc_id", -F.col("doc_id")))
+    assert got(language.found(both).where("doc_id < 0"), "doc_id", "lang") == [(-2, "de")]
