@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetry.functions.text import canon, ocr_fold
+from packetry.runtime import lookup_join
 
 # Damage phrases and words.
 DAMAGE_PHRASES = ("name cut out", "species whiteout", "risk panel missing", "date washed out", "visa class torn", "registry lost", "purpose illegible", "sponsor id blank", "unreadable")
@@ -13,6 +14,8 @@ DAMAGE_WORDS = r"(?i)\b(unreadable|illegible|washed\s*out|whiteout|cut\s*out|tor
 PLACEHOLDERS = ("passport image", "registry image", "scan image", "primary intake record", "mib eyes only", "sample denial", "n/a")
 NOTE_LABELS = ("adjudicator", "finding")
 ANCHOR_WORDS = ("observed", "flags", "biometric")
+#: Entries of a vocabulary that a plan may hold; larger ones are refused.
+MAX_VOCABULARY = 5000
 
 
 def _c(s: str) -> str:
@@ -38,15 +41,34 @@ def vocabulary_correct(c: Column, vocabulary: list[str], max_ratio: float = 0.34
     return F.when(plain != "", F.when(second.isNull() | (second["d"] > first["d"]), first["v"]))
 
 
-def correct_field(c: Column, vocabulary: list[str], strict: bool = False, max_ratio: float = 0.34) -> Column:
-    """Exact entry by letters and digits, else (unless strict) the corrected one, else the value itself."""
+def correct_field(c: Column, vocabulary: list[str], strict: bool = False, max_ratio: float = 0.34, guarded: list[str] = ()) -> Column:
+    """Exact entry by letters and digits, else (unless strict) the corrected one, else the value itself.
+
+    A guarded entry is taken only within one edit of the scan-folded letters.
+    """
     exact = F.create_map(*[x for v in vocabulary for x in (F.lit(_c(v)), F.lit(v))])
     hit = F.try_element_at(exact, canon(c))
-    return F.coalesce(hit, c) if strict else F.coalesce(hit, vocabulary_correct(c, vocabulary, max_ratio), c)
+    if strict:
+        return F.coalesce(hit, c)
+    fixed = vocabulary_correct(c, vocabulary, max_ratio)
+    for g in guarded:
+        fixed = F.when((fixed == g) & (F.levenshtein(ocr_fold(canon(c)), F.lit(_f(_c(g))), 1) < 0), F.lit(None)).otherwise(fixed)
+    return F.coalesce(hit, fixed, c)
+
+
+def corrected(df: DataFrame, column: str, vocabulary: list[str], out: str = "value", strict: bool = False, max_ratio: float = 0.34) -> DataFrame:
+    """df with the corrected field in a new column. Each distinct value is compared with the vocabulary once and joined back."""
+    if len(vocabulary) > MAX_VOCABULARY:
+        raise ValueError(f"a vocabulary of more than {MAX_VOCABULARY} entries is not a closed list")
+    key = df.select(F.col(f"`{column}`").alias("_v")).where("_v is not null").distinct()
+    fixed = key.select("_v", correct_field(F.col("_v"), vocabulary, strict, max_ratio).alias(out))
+    return lookup_join(df.withColumn("_v", F.col(f"`{column}`")), fixed, ["_v"], "left").drop("_v")
 
 
 def token_nearest(c: Column, vocabulary: list[str], reach: int = 2) -> Column:
     """The strictly nearest entry within reach edits of a token (case ignored), else the token."""
+    if len(vocabulary) > MAX_VOCABULARY:
+        raise ValueError(f"a vocabulary of more than {MAX_VOCABULARY} entries is not a closed list")
     low = F.lower(c)
     costs = F.array(*[F.struct(F.levenshtein(low, F.lit(v.lower()), reach).alias("d"), F.lit(v).alias("v")) for v in vocabulary])
     ranked = F.array_sort(F.filter(costs, lambda s: s["d"] >= 0))

@@ -72,20 +72,23 @@ def titles(lines: DataFrame) -> DataFrame:
 def unarchived(lines: DataFrame, skip: int = 3) -> DataFrame:
     """Lines without archived blocks: a marker drops itself and the next skip lines, and markers among these do not count.
 
-    One page is folded at a time, in order, with the number of lines still to drop as state.
+    A marker more than skip lines after the marker before it counts for certain, so that runs of closer markers are judged by
+    themselves: only the places of the markers of a run are folded, and lines look back to the last marker that counts.
     """
-    pages = lines.groupBy("packet", "page").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("ls"))
-
-    def fold(acc: Column, x: Column) -> Column:
-        marker = F.coalesce(x["text"].rlike(ARCHIVED), F.lit(False))
-        dropping = acc["skip"] > 0
-        kept = F.when(dropping | marker, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(x)))
-        left = F.when(dropping, acc["skip"] - 1).when(marker, F.lit(skip)).otherwise(F.lit(0))
-        return F.struct(kept.alias("kept"), left.alias("skip"))
-
-    start = F.struct(F.expr("cast(array() as array<struct<line_no:int,text:string>>)").alias("kept"), F.lit(0).alias("skip"))
-    kept = pages.select("packet", "page", F.inline(F.aggregate("ls", start, fold, lambda acc: acc["kept"])))
-    return kept.select("packet", "page", "line_no", "text")
+    page = ["packet", "page"]
+    rows = lines.withColumn("_at", F.row_number().over(Window.partitionBy(*page).orderBy("line_no")))
+    rows = rows.withColumn("_mark", F.coalesce(F.col("text").rlike(ARCHIVED), F.lit(False)))
+    order = Window.partitionBy(*page).orderBy("_at")
+    marks = rows.where("_mark").select(*page, "_at")
+    far = F.coalesce(F.col("_at") - F.lag("_at").over(order) > skip, F.lit(True))
+    runs = marks.withColumn("_run", F.sum(far.cast("int")).over(order)).groupBy(*page, "_run").agg(F.array_sort(F.collect_list("_at")).alias("_ats"))
+    first = F.struct(F.lit(-(1 << 30)).alias("last"), F.array().cast("array<int>").alias("kept"))
+    pick = lambda acc, x: F.when(x - acc["last"] > skip, F.struct(x.alias("last"), F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc)
+    counted = runs.select(*page, F.explode(F.aggregate("_ats", first, pick, lambda acc: acc["kept"])).alias("_at")).withColumn("_counts", F.lit(True))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"m.{c}")) for c in page] + [F.col("l._at") == F.col("m._at")]
+    joined = rows.alias("l").join(counted.alias("m"), same, "left").select("l.*", "m._counts")
+    last = F.last(F.when(F.col("_counts"), F.col("_at")), True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return joined.withColumn("_last", last).where("_last is null or _at - _last > " + str(skip)).select("packet", "page", "line_no", "text")
 
 
 def active_pages(lines: DataFrame, id_pattern: str = r"MIB-[0-9]{4,}") -> DataFrame:
@@ -143,7 +146,38 @@ def page_types(titled: DataFrame, rules: list[tuple[str, str]], text: str = "tit
 
 def legible(lines: DataFrame, pattern: str) -> DataFrame:
     """(packet, page, legibility): number of lines that match a typed pattern."""
-    return lines.groupBy("packet", "page").agg(F.count_if(F.col("text").rlike(pattern)).alias("legibility"))
+    return lines.groupBy("packet", "page").agg(F.count_if(F.coalesce(F.col("text").rlike(pattern), F.lit(False))).alias("legibility"))
+
+
+def split_visible(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(visible, hidden) lines; a line without the mark is visible."""
+    gone = F.coalesce("hidden", F.lit(False))
+    return lines.where(~gone), lines.where(gone)
+
+
+def page_texts(lines: DataFrame) -> DataFrame:
+    """(packet, page, text) of the visible lines of each page, joined by line feeds in order."""
+    seen, _ = split_visible(lines)
+    rows = seen.where("text is not null").groupBy("packet", "page").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("l"))
+    return rows.select("packet", "page", F.array_join("l.text", "\n").alias("text"))
+
+
+def scanned(lines: DataFrame, printed: tuple[str, ...] = (), starts: tuple[str, ...] = ("Packet ",)) -> DataFrame:
+    """(packet, scanned): whether a packet has no visible line besides printed matter (whole lines, or openings of lines)."""
+    c = F.col("text")
+    plain = c.isNotNull() & ~c.isin(*(printed or ("",)))
+    for s in starts:
+        plain = plain & ~c.startswith(s)
+    plain = plain & ~F.coalesce("hidden", F.lit(False)) if "hidden" in lines.columns else plain
+    return lines.groupBy("packet").agg((~F.coalesce(F.bool_or(plain), F.lit(False))).alias("scanned"))
+
+
+def united(first: DataFrame, more: DataFrame) -> DataFrame:
+    """Lines of a page with those of another reading behind them that it does not hold yet, in order, each text once."""
+    rows = first.select("packet", "page", F.lit(0).alias("_pass"), "line_no", "text").unionByName(more.select("packet", "page", F.lit(1).alias("_pass"), "line_no", "text"))
+    once = rows.groupBy("packet", "page", "text").agg(F.min(F.struct("_pass", "line_no")).alias("_o"))
+    order = Window.partitionBy("packet", "page").orderBy("_o", "text")
+    return once.select("packet", "page", F.row_number().over(order).alias("line_no"), "text")
 
 
 def stamp(lines: DataFrame, words: list[str], override: str, colors: list[int], smallest: float = 15.0, largest: float = 25.0) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetry.functions.text import valid_iso_date, well_formed_sponsor
-from packetry.runtime import lookup_join
+from packetry.runtime import lookup_join, small_side
 
 # The columns of a submission line, in order.
 FIELDS = ("case_id", "applicant_name", "species_code", "home_world", "visa_class", "sponsor_id", "arrival_date", "declared_purpose", "risk_flags", "fee_status", "adjudication", "confidence")
@@ -75,10 +75,11 @@ def rejects(lines: DataFrame) -> DataFrame:
 
 
 def accepted(lines: DataFrame) -> DataFrame:
-    """All lines that are rejected for no reason, as typed rows."""
-    ok = F.lit(True)
-    for name, check in CHECKS.items():
-        ok = ok & check(F.get("f", F.lit(FIELDS.index(name))))
-    rows = parse(lines).where(F.col("structure").isNull()).where(ok)
+    """All lines that are rejected for no reason, as typed rows: those none of whose values is in the dictionary of invalid ones."""
+    rows = parse(lines).where(F.col("structure").isNull())
+    wrong, small = small_side(invalid_values(checked_cells(rows)).select("field", "value"))
+    for name in CHECKS:
+        one = wrong.where(F.col("field") == name).select(F.col("value").alias("_bad"))
+        rows = rows.withColumn("_v", F.get("f", F.lit(FIELDS.index(name)))).join(F.broadcast(one) if small else one, F.col("_v").eqNullSafe(F.col("_bad")), "left_anti")
     typed = {"arrival_date": "date", "confidence": "double"}
     return rows.select("line_id", *[F.get("f", F.lit(i)).cast(typed.get(n, "string")).alias(n) for i, n in enumerate(FIELDS)])

@@ -157,12 +157,12 @@ SELECT records.record_id, coalesce(u.exact, u.near, records.{field}) AS value FR
 
 @query(_correct_sql("species_code"))
 def j_correct_species(spark, d) -> DataFrame:
-    return table(spark, d, "records").select("record_id", fuzzy.correct_field(F.col("species_code"), _vocabulary(spark, d, "species_code")).alias("value"))
+    return fuzzy.corrected(table(spark, d, "records").select("record_id", "species_code"), "species_code", _vocabulary(spark, d, "species_code")).select("record_id", "value")
 
 
 @query(_correct_sql("home_world"))
 def j_correct_world(spark, d) -> DataFrame:
-    return table(spark, d, "records").select("record_id", fuzzy.correct_field(F.col("home_world"), _vocabulary(spark, d, "home_world")).alias("value"))
+    return fuzzy.corrected(table(spark, d, "records").select("record_id", "home_world"), "home_world", _vocabulary(spark, d, "home_world")).select("record_id", "value")
 
 
 @query(f"""WITH t AS (SELECT DISTINCT {_CANON.format("string_split(applicant_name, ' ')[1]")} AS token FROM records WHERE applicant_name IS NOT NULL),
@@ -172,7 +172,7 @@ k AS (SELECT token, given_name, d, min(d) OVER (PARTITION BY token) AS least FRO
 u AS (SELECT token, CASE WHEN count(*) = 1 THEN min(given_name) END AS hit FROM k WHERE d = least GROUP BY token)
 SELECT t.token, coalesce(u.hit, t.token) AS fixed FROM t LEFT JOIN u ON t.token = u.token""")
 def j_token_nearest(spark, d) -> DataFrame:
-    given = sorted(r[0] for r in table(spark, d, "name_aliases").select("given_name").distinct().limit(5000).collect())
+    given = sorted(r[0] for r in table(spark, d, "name_aliases").select("given_name").where("given_name is not null").distinct().limit(fuzzy.MAX_VOCABULARY + 1).collect())
     tokens = table(spark, d, "records").where("applicant_name is not null").select(canon(F.get(F.split("applicant_name", " "), F.lit(0))).alias("token")).distinct()
     return tokens.select("token", fuzzy.token_nearest(F.col("token"), given).alias("fixed"))
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +14,7 @@ from packetry.operators.rejects import FIELDS
 
 # Keys under which a JSON container may hold its rows, and suffixes of model files.
 CONTAINER_KEYS = ("predictions", "submission", "results", "cases")
-MODEL_SUFFIXES = ("bin", "ckpt", "gguf", "h5", "joblib", "keras", "model", "npz", "onnx", "pb", "pkl", "pt", "pth", "safetensors")
+MODEL_SUFFIXES = ("bin", "ckpt", "gguf", "h5", "joblib", "mar", "mlmodel", "onnx", "pb", "pkl", "pt", "pth", "safetensors", "tflite")
 
 
 def packets(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
@@ -26,9 +25,9 @@ def packets(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame
     return files.select("path", "length", F.when(found != "", found).otherwise(stem).alias("packet_id"))
 
 
-def csv_strings(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, every column a string; quoted fields may hold line breaks."""
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
+def csv_strings(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:
+    """CSV with a header, every column a string. With breaks, quoted fields may hold line breaks, and a file is one task; without, it is split."""
+    return spark.read.csv(path, header=True, inferSchema=False, multiLine=breaks, escape='"')
 
 
 def strict_csv(spark: SparkSession, path: str, fields: Iterable[str] = FIELDS) -> DataFrame:
@@ -40,15 +39,30 @@ def strict_csv(spark: SparkSession, path: str, fields: Iterable[str] = FIELDS) -
 
 
 def keyed_last(df: DataFrame, key: str) -> DataFrame:
-    """Last row of each key in file order, keys trimmed, blank keys dropped."""
-    rows = df.withColumn(key, F.trim(F.col(key))).where(F.coalesce(F.col(key), F.lit("")) != "").withColumn("_ord", F.monotonically_increasing_id())
-    w = Window.partitionBy(key).orderBy(F.desc("_ord"))
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_ord")
+    """Last row of each key of a file source, keys trimmed, blank keys dropped.
 
+    The order is that of paths, then of blocks of a file, then of rows in a block, however Spark packs the blocks into tasks.
+    """
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = df.select(F.trim(F.col(key)).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in df.columns if c != key]).alias("_row"), at.alias("_at"))
+    last = rows.where(F.coalesce("_key", F.lit("")) != "").groupBy("_key").agg(F.max_by("_row", "_at").alias("_row"))
+    return last.select(*[F.col("_key").alias(key) if c == key else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
-def manifest_ids(spark: SparkSession, path: str) -> DataFrame:
+
+def manifest_ids(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:
     """Case ids of a manifest, trimmed."""
-    return csv_strings(spark, path).select(F.trim("case_id").alias("case_id"))
+    return csv_strings(spark, path, breaks).select(F.trim("case_id").alias("case_id"))
+
+
+def truth(spark: SparkSession, path: str) -> DataFrame:
+    """Truth rows of a CSV, the last of a case holds."""
+    return keyed_last(csv_strings(spark, path), "case_id")
+
+
+def parse_cache(spark: SparkSession, path: str, schema: str, key: str = "case_id") -> DataFrame:
+    """Records of a JSON object from case to record, nested fields typed by schema."""
+    raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string,struct<{schema}>>")).alias(key, "_r"))
+    return raw.select(key, *[F.col(f"_r.`{f}`").alias(f) for f in raw.schema["_r"].dataType.names if f != key])
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -92,14 +106,12 @@ def submission(spark: SparkSession, path: str, fields: Iterable[str] = FIELDS) -
 
 def artifacts(spark: SparkSession, folder: str, most: int, total: int) -> DataFrame:
     """Model files below a folder with their size and whether the file, and all files together, keep to the limits."""
-    glob = "*.{" + ",".join(MODEL_SUFFIXES) + "}"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder).select("path", "length")
-    files = files.where(~F.col("path").contains("/.git/"))
-    all_size = F.sum("length").over(Window.partitionBy(F.lit(0)))
-    return files.select("path", "length", (F.col("length") <= most).alias("file_ok"), (all_size <= total).alias("total_ok"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    files = files.where(F.lower("path").rlike(r"\.(" + "|".join(MODEL_SUFFIXES) + r")$") & ~F.col("path").contains("/.git/"))
+    return sized(files, most, total)
 
 
-def schema_from_json(path: str) -> dict:
-    """A small JSON document on the driver (schemas, settings)."""
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+def sized(files: DataFrame, most: int, total: int) -> DataFrame:
+    """Files (path, length) with whether each, and all together, keep to the limits."""
+    all_size = F.broadcast(files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("_all")))  # one row
+    return files.crossJoin(all_size).select("path", "length", (F.col("length") <= most).alias("file_ok"), (F.col("_all") <= total).alias("total_ok"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from __future__ import annotations
+
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,36 +18,56 @@ def file_batches(spark: SparkSession, folder: str, schema: str, most: int = 200,
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", most).load(folder)
 
 
-def run_batches(stream: DataFrame, state: str, out: str, checkpoint: str, view: Callable[[DataFrame], DataFrame], key: str | None = None) -> StreamingQuery:
+def run_batches(
+    stream: DataFrame, state: str, out: str, checkpoint: str, view: Callable[[DataFrame], DataFrame], key: str | None = None,
+    work: Callable[[DataFrame, bool, bool], DataFrame] | None = None, governor: Governor | None = None, every: int = 1,
+) -> StreamingQuery:
     """Process all available batches: append to the state table, then rewrite the output from the whole state.
 
     The batch id is a partition of the state, so a batch that is run again after a failure replaces itself. The checkpoint folder makes a
-    later run take new files only. key: rows without it are not kept, so that their packets are tried again.
+    later run take new files only. key: rows without it are not kept, so that their packets are tried again. work(batch, costly, deep)
+    reads a batch as thoroughly as the governor still allows; the governor sees the time spent and the rows kept after each batch.
+    The output is a function of the whole state (reference dates and the like), so it is made anew; every n-th batch only, to spare
+    long runs, and by the caller's last view of the state after the stream has ended where n is more than one.
     """
+    began = time.monotonic()
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.where(F.col(key).isNotNull()) if key else batch
+        rows = work(batch, governor is None or governor.costly, governor is None or governor.deep) if work else batch
+        rows = rows.where(F.col(key).isNotNull()) if key else rows
         rows.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
-        view(spark.read.option("basePath", state).parquet(state)).write.mode("overwrite").parquet(out)
+        kept = spark.read.option("basePath", state).parquet(state)
+        if governor is not None:
+            governor.after(time.monotonic() - began, kept.count())
+        if batch_id % every == 0:
+            view(kept).write.mode("overwrite").parquet(out)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def guarded(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, key: str) -> DataFrame:
-    """Apply work to each packet on its own; one that raises gives a row of nulls with its key and the error text."""
+    """Apply work, which takes a frame of any number of packets, to all packets; one that raises gives a row of nulls with its key and the error text.
+
+    A batch is worked on whole. Where that fails it is halved until the bad packets stand alone, so that a few of them cost a few calls.
+    """
     names = [x.split()[0] for x in schema.split(",")]
 
+    def safe(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        try:
+            yield work(pdf).assign(error=None)[[*names, "error"]]
+        except Exception as e:  # the packet's own fault, not the job's
+            if len(pdf) > 1:
+                half = len(pdf) // 2
+                yield from safe(pdf.iloc[:half])
+                yield from safe(pdf.iloc[half:])
+            else:
+                yield pd.DataFrame({n: [pdf[key].iloc[0] if n == key else None] for n in names} | {"error": [f"{type(e).__name__}: {e}"]})[[*names, "error"]]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for i in range(len(pdf)):
-                one = pdf.iloc[i : i + 1]
-                try:
-                    out.append(work(one).assign(error=None))
-                except Exception as e:  # the packet's own fault, not the job's
-                    out.append(pd.DataFrame({n: [one[key].iloc[0] if n == key else None] for n in names} | {"error": [f"{type(e).__name__}: {e}"]}))
-            yield pd.concat(out)[[*names, "error"]] if out else pd.DataFrame(columns=[*names, "error"])
+            if len(pdf):
+                yield from safe(pdf)
 
     return df.mapInPandas(run, schema + ", error string")
 

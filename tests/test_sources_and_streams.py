@@ -111,3 +111,38 @@ def test_governor():
     for elapsed, done in ((54, 10), (60, 20), (170, 30), (215, 40)):
         h.after(elapsed, done)
     assert not h.deep and h.costly
+
+
+def test_last_rows_follow_the_files_and_not_the_tasks(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"case_id": "A", "v": "first"}\n')
+    (tmp_path / "b.jsonl").write_text("".join(f'{{"case_id": "B{i}", "v": "{"x" * 500}"}}\n' for i in range(400)) + '{"case_id": "A", "v": "last"}\n')
+    out = readers.checkpoint_rows(spark, str(tmp_path), "case_id string, v string")
+    assert out.where("case_id = 'A'").first()["v"] == "last" and out.count() == 401
+    (tmp_path / "t.csv").write_text("case_id,v\nA,1\nA,2\n")
+    assert got(readers.truth(spark, str(tmp_path / "t.csv")), "case_id", "v") == [("A", "2")]
+
+
+def test_artifact_suffixes_in_any_case(spark, tmp_path):
+    for n in ("a.ONNX", "b.tflite", "c.mar", "d.MLModel", "e.npz", "f.keras", "g.txt"):
+        (tmp_path / n).write_bytes(b"xx")
+    assert got(readers.artifacts(spark, str(tmp_path), 20, 3), "length", "total_ok") == [(2, False)] * 4
+
+
+def test_parse_cache_keeps_nested_fields(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"A": {"v": "1", "note": {"finding": "x"}, "odd": 1}, "B": {"v": None}}))
+    out = readers.parse_cache(spark, str(tmp_path / "c.json"), "v string, note struct<finding:string>")
+    assert [(r.case_id, r.v, r.note.finding if r.note else None) for r in out.orderBy("case_id").collect()] == [("A", "1", "x"), ("B", None, None)]
+
+
+def test_stream_with_a_governor(spark, tmp_path):
+    src, state, out, mark = (str(tmp_path / x) for x in ("src", "state", "out", "mark"))
+    spark.range(40).repartition(8).write.parquet(src)
+    seen = []
+
+    def work(batch, costly, deep):
+        seen.append((costly, deep))
+        return batch.withColumn("deep", F.lit(deep))
+
+    slow = packets.Governor(1e-9, 40)
+    packets.run_batches(packets.file_batches(spark, src, "id bigint", 2), state, out, mark, lambda df: df.agg(F.count("*").alias("n")), work=work, governor=slow).awaitTermination()
+    assert seen[0] == (True, True) and seen[-1] == (False, False) and spark.read.parquet(out).first()["n"] == 40
