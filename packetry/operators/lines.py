@@ -5,6 +5,8 @@ Windows are over one page or packet; a page is bounded by its document. Null tex
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,11 +116,11 @@ def inline_fields(lines: DataFrame) -> DataFrame:
     return rows.where("value <> ''").groupBy("packet", "page", "label").agg(F.max_by("value", "line_no").alias("value"))
 
 
-def vertical_fields(lines: DataFrame, labels: dict[str, str], typed: dict[str, str], placeholders: tuple[str, ...] = ()) -> DataFrame:
+def vertical_fields(lines: DataFrame, labels: dict[str, str], typed: dict[str, str], placeholders: tuple[str, ...] = (), trap: Callable[[Column], Column] | None = None) -> DataFrame:
     """(packet, page, field, value) of labels with their value on the next or the previous line.
 
     Both readings are made; the page keeps the one with more values of the right type (typed: field to pattern) less placeholders;
-    ties go to the line below. The first of equal fields holds.
+    ties go to the line below. The first of equal fields holds. What trap finds is never a value, like a placeholder.
     """
     w = Window.partitionBy("packet", "page").orderBy("line_no")
     names = F.create_map(*[x for label, field in labels.items() for x in (F.lit(label), F.lit(field))])
@@ -127,6 +129,7 @@ def vertical_fields(lines: DataFrame, labels: dict[str, str], typed: dict[str, s
     long = rows.select("packet", "page", "line_no", "field", F.inline(F.array(F.struct(F.lit(1).alias("way"), F.trim("below").alias("value")), F.struct(F.lit(0).alias("way"), F.trim("above").alias("value")))))
     is_label = F.try_element_at(names, F.regexp_replace("value", ":+$", "")).isNotNull()
     long = long.where(F.col("value").isNotNull() & (F.col("value") != "") & ~is_label & ~F.lower("value").isin(*(placeholders or ("",))))
+    long = long.where(~trap(F.col("value"))) if trap else long
     long = long.groupBy("packet", "page", "way", "field").agg(F.min_by("value", "line_no").alias("value"))
     fits = F.lit(False)
     for field, pattern in typed.items():

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from packetry.functions.extract import find_date, find_sponsor, visa_normalize
 from packetry.functions.text import canon, strip, valid_iso_date
-from packetry.operators.fuzzy import damaged, flag_votes, label_line_value, vocabulary_correct
+from packetry.operators.fuzzy import damaged, flag_votes, label_line_value, vocabulary_correct, word_family
 
 # A label of two words, then ':', '.' or a blank; printed matter behind a value; label and words of a flag line.
 LABEL = r"^\s*(\S+\s+\S+?)[:.\s]\s*(.+)$"
 IMAGE = r"\s*(PASSPORT|REGISTRY|SCAN)\s+IMAGE.*$"
 FLAG_LABEL = "observedflags"
 NO_FLAG_WORDS = ("none", "nome", "norne")
+FINDING = r"(?i)Finding:\s*(APPROVED|DENIED|NEEDS_REVIEW)\.?\s*Reason:\s*(.*)"
+REASON_START = r"(?i)reas[oa]?r?|resor|\breason\b"
+VERDICT_LETTERS = {"APPROVED": "APPRO|APPRV", "NEEDS_REVIEW": "REVI|NEEDS", "DENIED": r"DENI|DEN1|DEMED|DEWE|DEMIED|\bDEN\b"}
 NOTICE = r"(?i)sponsor\s+standing\s+requires\s+additional\s+verification"
 
 
@@ -103,6 +106,12 @@ def _pages(lines: DataFrame) -> DataFrame:
 
 def sponsor_letters(lines: DataFrame, labels: dict[str, str], visas: list[str]) -> DataFrame:
     """(packet, page, sponsor_id, name, purpose, visa, compliance_visa) of sponsor letters, from their prose, else from labelled lines."""
+    either = lambda c: F.coalesce(c, f"i_{c}").alias(c)
+    return letter_readings(lines, labels, visas).select("packet", "page", "sponsor_id", either("name"), either("purpose"), either("visa"), "compliance_visa")
+
+
+def letter_readings(lines: DataFrame, labels: dict[str, str], visas: list[str]) -> DataFrame:
+    """Sponsor letters with what their prose says (name, purpose, visa) apart from what labelled lines say (i_name, i_purpose, i_visa)."""
     text, one = F.col("text"), _one_of(visas)
     take = lambda c, pattern: _some(F.trim(F.regexp_extract(c, pattern, 1)))
     pages = _pages(lines).where(text.contains("Sponsor Attestation") | text.contains("attests that"))
@@ -116,10 +125,20 @@ def sponsor_letters(lines: DataFrame, labels: dict[str, str], visas: list[str])
     bare = lines.where(text.contains(":")).select("packet", "page", "line_no", canon(label).alias("key"), value.alias("value")).where((F.col("key") == "purpose") & (F.col("value") != "") & ~damaged(F.col("value")))
     bare = bare.groupBy("packet", "page").agg(F.min_by("value", "line_no").alias("b_purpose"))
     rows = prose.join(inline, ["packet", "page"], "left").join(bare, ["packet", "page"], "left")
-    return rows.select(
-        "packet", "page", "sponsor_id", F.coalesce("name", "i_name").alias("name"), F.coalesce("purpose", "i_purpose", "b_purpose").alias("purpose"),
-        F.coalesce("visa", _visa(F.col("i_visa"), visas)).alias("visa"), "compliance_visa",
-    )
+    return rows.select("packet", "page", "sponsor_id", "name", "purpose", "visa", "compliance_visa", "i_name", F.coalesce("i_purpose", "b_purpose").alias("i_purpose"), _visa(F.col("i_visa"), visas).alias("i_visa"))
+
+
+def finding(c: Column, families: list[tuple[list[str], str]] = ()) -> Column:
+    """struct(finding, reason) of a note: as printed, else by the letters of a verdict before the reason, else by the reason's word families.
+
+    A head that reads both as approval and as something else is a review: a doubt never gives the most permissive word.
+    """
+    printed = _some(F.upper(F.regexp_extract(c, FINDING, 1)))
+    head = F.replace(F.upper(F.get(F.split(c, REASON_START, 2), F.lit(0))), F.lit(" "), F.lit(""))
+    yes, doubt, no = (head.rlike(VERDICT_LETTERS[x]) for x in ("APPROVED", "NEEDS_REVIEW", "DENIED"))
+    read = F.when(yes & (doubt | no), "NEEDS_REVIEW").when(yes, "APPROVED").when(doubt, "NEEDS_REVIEW").when(no, "DENIED")
+    guessed = word_family(c, list(families)) if families else F.lit(None).cast("string")
+    return F.struct(F.coalesce(printed, read, guessed).alias("finding"), F.when(printed.isNotNull(), F.trim(F.regexp_extract(c, FINDING, 2))).otherwise("").alias("reason"))
 
 
 def registry_notice(lines: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ WEIGHTS = {"applicant_name": 5, "species_code": 6, "home_world": 5, "visa_class"
 EXTRACTION_POINTS, CALIBRATION_POINTS, MISSING_CAP = 50.0, 20.0, 10.0
 FEES = ("paid", "waived", "unpaid", "unknown")
 LABELS = ("APPROVED", "DENIED", "NEEDS_REVIEW")
+CLASS_POINTS, RIGHT, FALSE_APPROVAL, DOUBTED, DOUBT = 80.0, 8, -4, 2, 1
 
 
 def indexed(predictions: DataFrame, key: str = "case_id", order: str = "submission_id") -> DataFrame:
@@ -79,6 +80,64 @@ def totals(scored: DataFrame) -> DataFrame:
     )
 
 
+def class_points(truth: Column, prediction: Column) -> Column:
+    """Points of a label against the true one: right, denied taken for approved, left to review, or decided where review was due."""
+    t, p = F.upper(F.trim(truth)), F.upper(F.trim(prediction))
+    points = F.when(~F.coalesce(p.isin(*LABELS), F.lit(False)), 0).when(t == p, RIGHT).when((t == "DENIED") & (p == "APPROVED"), FALSE_APPROVAL)
+    return F.coalesce(points.when(p == "NEEDS_REVIEW", DOUBTED).when(t == "NEEDS_REVIEW", DOUBT).otherwise(0), F.lit(0))
+
+
+def evaluated(truth: DataFrame, predictions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(one row of results, scores by case) of a submission: sections, penalty and total, and counts of what is wrong with the rows.
+
+    Of predictions of one case the first in file order counts; blank cases are counted and left out.
+    """
+    at = F.monotonically_increasing_id() if "submission_id" not in predictions.columns else F.col("submission_id")
+    rows = predictions.withColumn("case_id", F.trim("case_id")).withColumn("submission_id", at)
+    first = indexed(rows)
+    scored = score_cases(truth, first, decided="adjudication")
+    pairs = truth.select("case_id", F.col("adjudication").alias("t")).join(first.select("case_id", F.col("adjudication").alias("p"), F.col("fee_status").alias("fee")), "case_id", "left")
+    label, fee = F.upper(F.trim("p")), F.lower(F.trim("fee"))
+    classes = pairs.select("case_id", class_points(F.col("t"), F.col("p")).alias("class_raw"), F.coalesce((F.upper("t") == "DENIED") & (label == "APPROVED"), F.lit(False)).alias("false_approval"), (~F.coalesce(label.isin(*LABELS), F.lit(False))).alias("bad_label"), (~F.coalesce(fee.isin(*FEES), F.lit(False))).alias("bad_fee"))
+    scored = scored.join(classes, "case_id")
+    n = truth.agg(F.count("*").alias("n_truth"))
+    scored = scored.crossJoin(F.broadcast(n)).withColumn("missing_penalty_score", F.when(~F.col("present"), F.try_divide(F.lit(MISSING_CAP), F.col("n_truth"))).otherwise(0.0)).drop("n_truth")
+    known = truth.select("case_id")
+    counts = rows.agg(F.count("*").alias("submitted_rows"), F.count_if(F.coalesce(F.col("case_id"), F.lit("")) == "").alias("blank_rows"))
+    again = duplicates(rows).agg(F.coalesce(F.sum("extra_rows"), F.lit(0)).alias("duplicate_rows"))
+    extra = first.join(known, "case_id", "left_anti").agg(F.count("*").alias("extra_cases"))
+    labels = scored.agg(F.sum("class_raw").alias("class_raw"), F.count_if("false_approval").alias("false_approvals"), F.count_if(F.col("present") & F.col("bad_label")).alias("invalid_adjudication"), F.count_if(F.col("present") & F.col("bad_fee")).alias("invalid_fee_status"))
+    row = totals(scored)
+    for one in (counts, again, extra, labels):
+        row = row.crossJoin(F.broadcast(one))  # one row each
+    share = F.coalesce(F.try_divide(F.col("class_raw"), F.col("truth_cases") * RIGHT), F.lit(0.0)) * CLASS_POINTS
+    row = row.withColumn("classification_score", share)
+    return row.withColumn("total_score", F.col("extraction_score") + F.col("classification_score") + F.col("calibration_score") - F.col("missing_penalty")), scored
+
+
+def raw_row_errors(rows: DataFrame, kind: str) -> DataFrame:
+    """(case_id, error) of every rule that rows(row, kinds) of a submission break; a row that lacks fields is judged no further."""
+    from packetry.operators.rejects import FIELDS
+
+    row, kinds = F.col("row"), F.col("kinds")
+    names = F.array(*[F.lit(f) for f in FIELDS])
+    missing, extra = F.array_except(names, F.map_keys(row)), F.array_sort(F.array_except(F.map_keys(row), names))
+    cell = lambda f: F.trim(F.coalesce(F.try_element_at(row, F.lit(f)), F.lit("")))
+    text = lambda f: F.try_element_at(kinds, F.lit(f)) == "STRING" if kind == "json" else F.lit(True)
+    bad = lambda ok, message: F.when(~F.coalesce(ok, F.lit(False)), F.lit(message))
+    value = F.expr("try_cast(trim(coalesce(try_element_at(row, 'confidence'), '')) as double)")
+    number = F.coalesce(F.try_element_at(kinds, F.lit("confidence")).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False)) if kind == "json" else F.lit(True)
+    checks = [bad(text(f), f"{f} must be a string") for f in FIELDS if f != "confidence"]
+    checks += [
+        bad(text("case_id") & cell("case_id").rlike(r"^MIB-[0-9]{6}\z"), "invalid case_id"), bad(text("sponsor_id") & cell("sponsor_id").rlike(r"^SPN-[0-9]{4}\z"), "invalid sponsor_id"), bad(text("arrival_date") & valid_iso_date(cell("arrival_date")), "invalid arrival_date"),
+        F.when(text("fee_status"), bad(cell("fee_status").isin(*FEES), "invalid fee_status")), F.when(text("adjudication"), bad(cell("adjudication").isin(*LABELS), "invalid adjudication")),
+        F.when(~number, "confidence must be a JSON number").when(value.isNull(), "confidence is not numeric").when(F.isnan(value) | ~value.between(0, 1), "confidence must be between 0 and 1"),
+    ]
+    lacks = [F.when(F.size(missing) > 0, F.concat(F.lit("missing fields "), F.array_join(missing, ", "))), F.when(F.size(extra) > 0, F.concat(F.lit("unexpected fields "), F.array_join(extra, ", ")))]
+    every = F.when(F.size(missing) > 0, F.array(*lacks)).otherwise(F.array(*lacks, *checks))
+    return rows.select(F.try_element_at(row, F.lit("case_id")).alias("case_id"), F.explode(F.array_compact(every)).alias("error"))
+
+
 def field_accuracy(scored: DataFrame) -> DataFrame:
     """(field, scorable, matched, accuracy)."""
     long = scored.select(F.explode("field_results").alias("field", "r")).where(F.col("r.status") != "not_scorable_unrecoverable")

@@ -104,6 +104,34 @@ def submission(spark: SparkSession, path: str, fields: Iterable[str] = FIELDS) -
     return json_container(spark, path).select(*[F.try_element_at(row, F.lit(f)).alias(f) for f in fields])
 
 
+def raw_submission(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """Rows of a submission as written, (row map<string,string>, kinds map<string,string> of JSON types), and its format, csv or json."""
+    suffix = os.path.splitext(path)[1].lower()
+    if suffix not in (".csv", ".json", ".jsonl"):
+        head = spark.read.text(path).where("trim(value) <> ''").limit(1).collect()
+        suffix = ".json" if head and head[0]["value"].lstrip()[:1] in ("[", "{") else ".csv"
+    if suffix == ".csv":
+        df = csv_strings(spark, path)
+        cells = [x for c in df.columns for x in (F.lit(c), F.coalesce(F.col(f"`{c}`"), F.lit("")))]
+        return df.select(F.create_map(*cells).alias("row"), F.create_map().cast("map<string,string>").alias("kinds")), "csv"
+    if suffix == ".jsonl":
+        texts = spark.read.text(path).where("trim(value) <> ''").select("value", F.lit(None).cast("string").alias("key"))
+    else:
+        raw = spark.read.text(path, wholetext=True).select(strip(F.col("value")).alias("v"))
+        rows = "array<string>"
+        alone = lambda a: F.transform(a, lambda t: F.struct(t.alias("value"), F.lit(None).cast("string").alias("key")))
+        lists = [F.from_json(F.get_json_object("v", f"$.{k}"), rows) for k in CONTAINER_KEYS]
+        one = F.when(F.get_json_object("v", "$.case_id").isNotNull(), F.array(F.col("v")))
+        keyed = F.transform(F.map_entries(F.from_json("v", "map<string,string>")), lambda e: F.struct(e["value"].alias("value"), e["key"].alias("key")))
+        pick = F.when(F.col("v").startswith("["), alone(F.from_json("v", rows))).otherwise(F.coalesce(*[F.when(F.size(x) > 0, alone(x)) for x in lists], alone(one), keyed))
+        texts = raw.select(F.inline(pick))
+    row = F.from_json("value", "map<string,string>")
+    named = F.when(F.col("key").isNotNull() & ~F.coalesce(F.map_contains_key(row, "case_id"), F.lit(False)), F.map_concat(row, F.create_map(F.lit("case_id"), F.col("key")))).otherwise(row)
+    held = F.try_parse_json("value")
+    types = [x for f in FIELDS for x in (F.lit(f), F.schema_of_variant(F.try_variant_get(held, f"$.{f}", "variant")))]
+    return texts.select(named.alias("row"), F.create_map(*types).alias("kinds")), "json"
+
+
 def artifacts(spark: SparkSession, folder: str, most: int, total: int) -> DataFrame:
     """Model files below a folder with their size and whether the file, and all files together, keep to the limits."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
