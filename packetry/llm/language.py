@@ -186,24 +186,45 @@ def fit(rows: list[tuple[str, str]], centroids: int = 3, rounds: int = 6, seed:
         return Centroids(np.ones(SLOTS, np.float32), np.zeros((SLOTS, 1), np.float32), NAMES[:1], 0.0)
     rows = sorted(rows)
     texts, langs = [" ".join(map(_clean, t.split("\n"))) for _, t in rows], np.array([x for x, _ in rows])
-    row, slot, w = vectors(texts)
+    n_texts = len(texts)
+    parts = [(i, *vectors(texts[i : i + 100])) for i in range(0, n_texts, 100)]
+    row, slot = np.concatenate([i + r for i, r, *_ in parts]), np.concatenate([x.astype(np.int32) for *_, x, _ in parts])
+    w = np.concatenate([x for *_, x in parts])
     seen = np.bincount(slot, minlength=SLOTS)
-    idf = np.log((1 + len(texts)) / (1 + seen)).astype(np.float32) + 0.1
-    dense = np.zeros((len(texts), SLOTS), dtype=np.float32)
-    dense[row, slot] = w * idf[slot]
-    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
+    idf = np.log((1 + n_texts) / (1 + seen)).astype(np.float32) + 0.1
+    w = w * idf[slot]
+    w /= np.maximum(np.sqrt(np.bincount(row, w * w, n_texts)), 1e-9).astype(np.float32)[row]
+    starts = np.searchsorted(row, np.arange(n_texts + 1))
     names = sorted(set(langs.tolist()))
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=-1, keepdims=True), 1e-9)
-    keep = np.ones(len(texts), dtype=bool)
+
+    def dots(table: np.ndarray) -> np.ndarray:
+        """Cosines of all texts to the columns of a table; some texts at a time, so that memory stays small."""
+        out = np.zeros((n_texts, table.shape[1]), dtype=np.float32)
+        for a in range(0, n_texts, 200):
+            lo, hi = starts[a], starts[min(a + 200, n_texts)]
+            if lo < hi:
+                cuts = np.flatnonzero(np.r_[True, row[lo + 1 : hi] != row[lo : hi - 1]])
+                out[row[lo:hi][cuts]] = np.add.reduceat(table[slot[lo:hi]] * w[lo:hi, None], cuts, axis=0)
+        return out
+
+    def mean(mask: np.ndarray) -> np.ndarray:
+        held = mask[row]
+        return (np.bincount(slot[held], w[held], SLOTS) / max(1, mask.sum())).astype(np.float32)
+
+    keep = np.ones(n_texts, dtype=bool)
     for _ in range(3):  # cast out wrong labels
-        single = unit(np.stack([dense[keep & (langs == n)].mean(axis=0) if (keep & (langs == n)).any() else np.zeros(SLOTS, np.float32) for n in names]))
-        keep = np.array(names)[(dense @ single.T).argmax(axis=1)] == langs
+        single = unit(np.stack([mean(keep & (langs == n)) for n in names]))
+        keep = np.array(names)[dots(np.ascontiguousarray(single.T)).argmax(axis=1)] == langs
     table, owner = [], []
     rng = np.random.default_rng(seed)
     for n in names:
-        mine = dense[keep & (langs == n)]
-        if not len(mine):
+        ids = np.flatnonzero(keep & (langs == n))
+        if not len(ids):
             continue
+        mine = np.zeros((len(ids), SLOTS), dtype=np.float32)
+        for j, i in enumerate(ids):
+            mine[j, slot[starts[i] : starts[i + 1]]] = w[starts[i] : starts[i + 1]]
         k = min(centroids, len(mine))
         c = mine[rng.choice(len(mine), k, replace=False)]
         for _ in range(rounds):
