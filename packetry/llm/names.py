@@ -199,7 +199,10 @@ class Reader:
         plain = [t for t in tokens if not t.isupper()]
         if capitals and plain:
             return plain[0], capitals
-        weight = [self._weight(t) for t in tokens]
+        first = self._weight(tokens[0])
+        if len(tokens) == 2 and first == 3:  # nothing comes before a known given name in front
+            return tokens[0], tokens[1:]
+        weight = [first, *(self._weight(t) for t in tokens[1:])]
         like = [w > 0 for w in weight]
         if all(like) and weight[-1] > weight[0]:  # a family name that is near a given name
             at = weight.index(max(weight))
