@@ -5,8 +5,8 @@ undone; known short forms and slips lead to the given name they stand for). Equa
 representative, so copies are never paired. A family name of a representative is cut into k + 1 segments; two names within k edits
 share a segment, at most k places apart. Segments go into an inverted index keyed by block (species and home world), given name,
 length and segment; every representative looks up its position-shifted substrings, and candidates are verified by banded edit
-distance, over the letters as written and over letters that scans confuse made one. Two edits in a short name count only if not both
-writings are family names that several given names bear: a damaged writing is a rare one. Cases are linked through the components of
+distance, over the letters as written and over letters that scans confuse made one. Two edits in a short name count only if neither
+writing is a family name that several given names bear: a damaged writing is a rare one. Cases are linked through the components of
 the representatives they show.
 
 Index, probes and candidates are narrow rows spread by one hash of the key; a key that many representatives share is split by AQE's
@@ -488,17 +488,17 @@ def representatives(records: DataFrame, aliases: DataFrame, lexicon_rows: list[t
     names = cut(names.groupBy("case_id", "name", "letter").agg(F.count("*").alias("n"), F.bool_and("calm").alias("calm")))
     learned = learn(names.where("not letter"), aliases)
     read = names.withColumn("f", F.explode(forms_udf(learned)("name"))).select("case_id", "n", "letter", "calm", "f.*")
-    forms = cut(read.groupBy("case_id", "letter", "given", "family", "kind").agg(F.sum("n").alias("n"), F.bool_and("calm").alias("calm"), F.first("parts").alias("parts")))
+    forms = cut(read.groupBy("case_id", "letter", "given", "family", "kind").agg(F.sum("n").alias("n"), F.bool_and("calm").alias("calm"), F.max("parts").alias("parts")))
     main = forms.where("not letter").groupBy("case_id").agg(F.max_by(F.struct("given", "family", "kind", "parts"), F.struct(-F.col("kind"), F.col("n"), F.col("family"))).alias("m"))
     judged = forms.join(main, "case_id", "left")
     given_fits = F.when((F.col("kind") == WEAK) | (F.col("m.kind") == WEAK), F.substring("given", 1, 1) == F.substring("m.given", 1, 1)).otherwise((F.levenshtein("given", "m.given", 2) >= 0) | (((F.col("kind") == RAW) | (F.col("m.kind") == RAW)) & (F.substring("given", 1, 1) == F.substring("m.given", 1, 1))))
     none = F.array().cast("array<string>")
     contained = F.exists(F.coalesce("parts", none), lambda p: near(p, F.col("m.family"), 7)) | F.exists(F.coalesce("m.parts", none), lambda p: near(p, F.col("family"), 7))
     fits = F.when(F.col("m").isNull(), F.col("calm")).otherwise(given_fits & (near(F.col("family"), F.col("m.family"), 7) | contained))
-    kept = judged.where(~F.col("letter") | fits).groupBy("case_id", "given", "family", "kind").agg(F.first("parts").alias("parts"))
+    kept = judged.where(~F.col("letter") | fits).groupBy("case_id", "given", "family", "kind").agg(F.max("parts").alias("parts"))
     who = kept.join(case_attributes(records, lexicon_rows), "case_id").where("species is not null or world is not null")
     who = cut(who.withColumn("rep", F.xxhash64("species", "world", "given", "family", "kind")))
-    reps = who.groupBy("rep").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("species", "world", "given", "family", "kind", "parts")])
+    reps = who.groupBy("rep").agg(*[F.max(c).alias(c) for c in ("species", "world", "given", "family", "kind", "parts")])
     usual = reps.where(F.col("kind") == STRONG).groupBy("family").agg((F.min("given") != F.max("given")).alias("usual"))
     reps = reps.join(usual, "family", "left").withColumn("usual", F.coalesce("usual", F.lit(False)))
     return who.select("case_id", "rep", _firm().alias("firm")), reps
