@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from packetry.functions.text import valid_iso_date
+from packetry.functions.text import bind, valid_iso_date
 
 # Letter shapes that scans give for digits, and the digits they stand for.
 DIGIT_SHAPES, DIGITS = "OoQDIl|!SsBZzG", "00001111558226"
@@ -86,9 +86,9 @@ def split_pipe(c: Column) -> Column:
 
 def flag_list(c: Column) -> Column:
     """Sorted distinct members of a pipe or comma list without none; none where nothing is left."""
-    n = normalize(c)
-    kept = F.array_sort(F.array_distinct(F.filter(_parts(n, "[|,]"), lambda x: x != "none")))
-    return F.when(n.isin("", "none", "null", "unknown", "n/a") | (F.size(kept) == 0), "none").otherwise(F.array_join(kept, "|"))
+    kept = lambda n: F.array_sort(F.array_distinct(F.filter(_parts(n, "[|,]"), lambda x: x != "none")))
+    joined = lambda k: F.when(F.size(k) == 0, "none").otherwise(F.array_join(k, "|"))
+    return bind(normalize(c), lambda n: F.when(n.isin("", "none", "null", "unknown", "n/a"), "none").otherwise(bind(kept(n), joined)))
 
 
 def visa_normalize(c: Column) -> Column:

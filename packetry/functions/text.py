@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +23,11 @@ _MARKS = r"^[\s?\-–—.*_#]*$"
 NO_FLAG = ("none", "no flags", "no flag", "nil", "n/a", "na", "null", "-", "--", "", "?", "???", "(blank)", "not given", "unknown")
 
 
+def bind(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c as a bound variable: it is worked out once and stands once in the plan, however often f reads it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Blanks, tabs, breaks and no-break spaces off both ends."""
     return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")

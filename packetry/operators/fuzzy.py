@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetry.functions.text import canon, ocr_fold
+from packetry.functions.text import bind, canon, ocr_fold
 from packetry.runtime import lookup_join
 
 # Damage phrases and words.
@@ -26,19 +26,34 @@ def _f(s: str) -> str:
     return s.replace("rn", "m").translate(str.maketrans("0158q", "olsbo"))
 
 
+def _sql(x: str | int) -> str:
+    return str(x) if isinstance(x, int) else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _entries(rows: list[tuple], names: str) -> Column:
+    """A closed list as one literal array of structs, so that a plan grows with what is asked of an entry and not with their number."""
+    return F.expr(f"array({', '.join('named_struct(' + ', '.join(f'{_sql(n)}, {_sql(x)}' for n, x in zip(names.split(), r)) + ')' for r in rows)})")
+
+
+def _exact(pairs: list[tuple[str, str]]) -> Column:
+    return F.expr(f"map({', '.join(_sql(x) for pair in pairs for x in pair)})")
+
+
 def vocabulary_correct(c: Column, vocabulary: list[str], max_ratio: float = 0.34) -> Column:
     """The one entry nearest to a value over plain or scan-folded letters, within max_ratio of its length; null if none or tied."""
-    plain = canon(c)
-    folded = ocr_fold(plain)
-    costs = []
-    for v in vocabulary:
-        cap = max(1, int(len(_c(v)) * max_ratio))
-        ds = [F.levenshtein(plain, F.lit(_c(v)), cap), F.levenshtein(folded, F.lit(_f(_c(v))), cap)]
-        d = F.least(*[F.when(x >= 0, x).otherwise(99) for x in ds])
-        costs.append(F.struct(d.alias("d"), F.lit(v).alias("v")))
-    ranked = F.array_sort(F.filter(F.array(*costs), lambda s: s["d"] < 99))
-    first, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
-    return F.when(plain != "", F.when(second.isNull() | (second["d"] > first["d"]), first["v"]))
+    if not vocabulary:
+        return F.lit(None).cast("string")
+    entries = _entries([(_c(v), _f(_c(v)), max(1, int(len(_c(v)) * max_ratio)), v) for v in vocabulary], "plain folded cap v")
+
+    def nearest(plain: Column, folded: Column) -> Column:
+        def cost(e: Column) -> Column:
+            ds = [F.call_function("levenshtein", k, e[name], e["cap"]) for k, name in ((plain, "plain"), (folded, "folded"))]
+            return F.struct(F.least(*[F.when(x >= 0, x).otherwise(99) for x in ds]).alias("d"), e["v"].alias("v"))
+
+        ranked = F.sort_array(F.filter(F.transform(entries, cost), lambda s: s["d"] < 99))
+        return bind(ranked, lambda r: F.when(F.get(r, F.lit(1)).isNull() | (F.get(r, F.lit(1))["d"] > F.get(r, F.lit(0))["d"]), F.get(r, F.lit(0))["v"]))
+
+    return bind(canon(c), lambda k: F.when(k != "", bind(ocr_fold(k), lambda folded: nearest(k, folded))))
 
 
 def correct_field(c: Column, vocabulary: list[str], strict: bool = False, max_ratio: float = 0.34, guarded: list[str] = ()) -> Column:
@@ -46,14 +61,16 @@ def correct_field(c: Column, vocabulary: list[str], strict: bool = False, max_ra
 
     A guarded entry is taken only within one edit of the scan-folded letters.
     """
-    exact = F.create_map(*[x for v in vocabulary for x in (F.lit(_c(v)), F.lit(v))])
-    hit = F.try_element_at(exact, canon(c))
-    if strict:
-        return F.coalesce(hit, c)
-    fixed = vocabulary_correct(c, vocabulary, max_ratio)
-    for g in guarded:
-        fixed = F.when((fixed == g) & (F.levenshtein(ocr_fold(canon(c)), F.lit(_f(_c(g))), 1) < 0), F.lit(None)).otherwise(fixed)
-    return F.coalesce(hit, fixed, c)
+    exact = _exact([(_c(v), v) for v in vocabulary])
+
+    def fixed(x: Column) -> Column:
+        near = vocabulary_correct(x, vocabulary, max_ratio)
+        if not guarded:
+            return near
+        letters = _exact([(g, _f(_c(g))) for g in dict.fromkeys(guarded)])
+        return bind(near, lambda y: F.when(F.levenshtein(ocr_fold(canon(x)), F.try_element_at(letters, y), 1) < 0, F.lit(None)).otherwise(y))
+
+    return bind(c, lambda x: F.coalesce(F.try_element_at(exact, canon(x)), *([] if strict else [fixed(x)]), x))
 
 
 def corrected(df: DataFrame, column: str, vocabulary: list[str], out: str = "value", strict: bool = False, max_ratio: float = 0.34) -> DataFrame:
@@ -78,13 +95,10 @@ def token_nearest(c: Column, vocabulary: list[str], reach: int = 2) -> Column:
 
 def damaged(c: Column) -> Column:
     """A value that tells of its own destruction: brackets, damage words, or a damage phrase within two edits."""
-    t = F.trim(c)
-    k = canon(c)
-    phrase = [(F.abs(F.length(k) - len(_c(p))) <= 3) & (F.levenshtein(k, F.lit(_c(p)), 2) >= 0) for p in DAMAGE_PHRASES]
-    any_phrase = phrase[0]
-    for p in phrase[1:]:
-        any_phrase = any_phrase | p
-    return F.coalesce(t.startswith("[") | t.endswith("]") | t.rlike(DAMAGE_WORDS) | any_phrase, F.lit(False))
+    phrases = F.expr(f"array({', '.join(_sql(_c(p)) for p in DAMAGE_PHRASES)})")
+    phrase = lambda k: F.exists(phrases, lambda p: F.levenshtein(k, p, 2) >= 0)
+    told = lambda t: t.startswith("[") | t.endswith("]") | t.rlike(DAMAGE_WORDS) | F.exists(F.array(canon(t)), phrase)
+    return F.coalesce(F.exists(F.array(F.trim(c)), told), F.lit(False))
 
 
 def placeholder(c: Column) -> Column:
@@ -132,9 +146,9 @@ def label_line_value(c: Column, first: str = "observed", second: str = "flags")
 
 def contained_flags(c: Column, flags: list[str]) -> Column:
     """Known flags that stand anywhere in a text, blanks and underscores alike, sorted."""
-    t = F.regexp_replace(F.lower(c), r"[\s_]+", "_")
-    found = F.filter(F.array(*[F.lit(f) for f in sorted(flags)]), lambda f: t.contains(f))
-    return F.when(c.isNull() | (F.size(found) == 0), "none").otherwise(F.array_join(found, "|"))
+    found = lambda t: F.filter(F.array(*[F.lit(f) for f in sorted(flags)]), lambda f: t.contains(f))
+    joined = lambda k: F.when(F.size(k) == 0, "none").otherwise(F.array_join(k, "|"))
+    return bind(F.regexp_replace(F.lower(c), r"[\s_]+", "_"), lambda t: F.when(t.isNull(), "none").otherwise(bind(found(t), joined)))
 
 
 def correct_flag_tokens(c: Column, flags: list[str], strict: bool = False) -> Column:
@@ -147,7 +161,7 @@ def correct_flag_tokens(c: Column, flags: list[str], strict: bool = False) -> Co
         return F.coalesce(F.when(t.isin(*flags), t), vocabulary_correct(t, flags, 0.5), kept)
 
     kept = F.array_sort(F.array_distinct(F.filter(F.transform(tokens, one), lambda x: x.isNotNull())))
-    return F.when(c.isNull() | (F.size(kept) == 0), "none").otherwise(F.array_join(kept, "|"))
+    return bind(kept, lambda k: F.when(k.isNull() | (F.size(k) == 0), "none").otherwise(F.array_join(k, "|")))
 
 
 def flag_votes(texts: DataFrame, key: str, text: str, flags: list[str], tight: list[str]) -> DataFrame:

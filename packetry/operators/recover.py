@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetry.functions.extract import find_date, find_sponsor, visa_normalize
-from packetry.functions.text import canon, strip, valid_iso_date
+from packetry.functions.text import bind, canon, strip, valid_iso_date
 from packetry.operators.fuzzy import damaged, flag_votes, label_line_value, vocabulary_correct, word_family
 
 # A label of two words, then ':', '.' or a blank; printed matter behind a value; label and words of a flag line.
@@ -70,10 +70,10 @@ def garbled_flags(lines: DataFrame, flags: list[str]) -> DataFrame:
     """(packet, page, flags) of the first line with a label like "observed flags" (45 percent of edits) that yields any, else none."""
     label, value = _label_value(F.col("text"))
     k, size = canon(label), len(FLAG_LABEL)
-    like = (k != "") & (F.abs(F.length(k) - size) <= 5) & (F.levenshtein(k, F.lit(FLAG_LABEL), int(size * 0.45)) >= 0)
+    like = bind(k, lambda k: (k != "") & (F.abs(F.length(k) - size) <= 5) & (F.levenshtein(k, F.lit(FLAG_LABEL), int(size * 0.45)) >= 0))
     tokens = F.filter(F.split(value, "[|,;]"), lambda t: (F.trim(t) != "") & ~canon(t).isin(*NO_FLAG_WORDS))
     hits = F.array_compact(F.transform(tokens, lambda t: vocabulary_correct(F.trim(t), flags, 0.5)))
-    joined = F.when(like, _some(F.array_join(F.array_sort(F.array_distinct(hits)), "|")))
+    joined = F.when(like, bind(F.array_join(F.array_sort(F.array_distinct(hits)), "|"), _some))
     rows = lines.select("packet", "page", "line_no", joined.alias("found"))
     first = F.min_by("found", F.when(F.col("found").isNotNull(), F.col("line_no")))
     return rows.groupBy("packet", "page").agg(F.coalesce(first, F.lit("none")).alias("flags"))
