@@ -46,11 +46,14 @@ def vocabulary_correct(c: Column, vocabulary: list[str], max_ratio: float = 0.34
     entries = _entries([(_c(v), _f(_c(v)), max(1, int(len(_c(v)) * max_ratio)), v) for v in vocabulary], "plain folded cap v")
 
     def nearest(plain: Column, folded: Column) -> Column:
+        def near(e: Column) -> Column:  # more letters too many or too few than edits are allowed: no need to compare
+            return F.least(*[F.abs(F.length(k) - F.length(e[name])) for k, name in ((plain, "plain"), (folded, "folded"))]) <= e["cap"]
+
         def cost(e: Column) -> Column:
             ds = [F.call_function("levenshtein", k, e[name], e["cap"]) for k, name in ((plain, "plain"), (folded, "folded"))]
             return F.struct(F.least(*[F.when(x >= 0, x).otherwise(99) for x in ds]).alias("d"), e["v"].alias("v"))
 
-        ranked = F.sort_array(F.filter(F.transform(entries, cost), lambda s: s["d"] < 99))
+        ranked = F.sort_array(F.filter(F.transform(F.filter(entries, near), cost), lambda s: s["d"] < 99))
         return bind(ranked, lambda r: F.when(F.get(r, F.lit(1)).isNull() | (F.get(r, F.lit(1))["d"] > F.get(r, F.lit(0))["d"]), F.get(r, F.lit(0))["v"]))
 
     return bind(canon(c), lambda k: F.when(k != "", bind(ocr_fold(k), lambda folded: nearest(k, folded))))
@@ -96,7 +99,8 @@ def token_nearest(c: Column, vocabulary: list[str], reach: int = 2) -> Column:
 def damaged(c: Column) -> Column:
     """A value that tells of its own destruction: brackets, damage words, or a damage phrase within two edits."""
     phrases = F.expr(f"array({', '.join(_sql(_c(p)) for p in DAMAGE_PHRASES)})")
-    phrase = lambda k: F.exists(phrases, lambda p: F.levenshtein(k, p, 2) >= 0)
+    least, most = (f(len(_c(p)) for p in DAMAGE_PHRASES) for f in (min, max))
+    phrase = lambda k: F.length(k).between(least - 2, most + 2) & F.exists(phrases, lambda p: F.levenshtein(k, p, 2) >= 0)
     told = lambda t: t.startswith("[") | t.endswith("]") | t.rlike(DAMAGE_WORDS) | F.exists(F.array(canon(t)), phrase)
     return F.coalesce(F.exists(F.array(F.trim(c)), told), F.lit(False))
 

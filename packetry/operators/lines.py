@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetry.functions.extract import pale
-from packetry.functions.text import strip
+from packetry.functions.text import bind, strip
 
 # Patterns of printed matter and of embedded instructions.
 FOOTER = r"(?i)^packet\s+\S+\s*/\s*page\s*[0-9]"
@@ -93,6 +93,19 @@ def unarchived(lines: DataFrame, skip: int = 3) -> DataFrame:
     return joined.withColumn("_last", last).where("_last is null or _at - _last > " + str(skip)).select("packet", "page", "line_no", "text")
 
 
+def unarchived_texts(texts: Column, skip: int = 3) -> Column:
+    """The texts of one page in order, an array, without archived blocks; the rule of unarchived() folded over the places of the markers."""
+    archived = lambda t: F.coalesce(t.rlike(ARCHIVED), F.lit(False))
+
+    def rest(ts: Column) -> Column:
+        places = F.filter(F.transform(ts, lambda t, i: F.when(archived(t), i)), lambda i: i.isNotNull())
+        pick = lambda kept, i: F.when(F.coalesce(i - F.get(kept, F.size(kept) - 1) > skip, F.lit(True)), F.array_append(kept, i)).otherwise(kept)
+        counted = F.aggregate(places, F.array().cast("array<int>"), pick)
+        return bind(counted, lambda marks: F.filter(ts, lambda _, i: ~F.exists(marks, lambda m: (i - m).between(0, skip))))
+
+    return bind(texts, lambda ts: F.when(F.exists(ts, archived), rest(ts)).otherwise(ts))
+
+
 def active_pages(lines: DataFrame, id_pattern: str = r"MIB-[0-9]{4,}") -> DataFrame:
     """Pages whose first id is the packet's or absent; all pages of a packet where none is."""
     found = F.nullif(F.regexp_extract("text", id_pattern, 0), F.lit(""))
@@ -139,6 +152,34 @@ def vertical_fields(lines: DataFrame, labels: dict[str, str], typed: dict[str, s
     return long.join(best, ["packet", "page", "way"]).select("packet", "page", "field", "value")
 
 
+def stacked_cells(texts: Column, labels: dict[str, str], typed: dict[str, str], trap: Callable[[Column], Column]) -> Column:
+    """Array of struct(field, value) of the texts of one page in order, an array, by the rule of vertical_fields()."""
+    names = F.create_map(*[x for label, field in labels.items() for x in (F.lit(label), F.lit(field))])
+    name = lambda t: F.try_element_at(names, F.regexp_replace(t, ":+$", ""))
+    none = F.array().cast("array<struct<field:string,value:string>>")
+
+    def fits(c: Column) -> Column:
+        out = F.lit(False)
+        for field, pattern in typed.items():
+            out = out | ((c["field"] == field) & c["value"].rlike(pattern))
+        return out
+
+    def read(ts: Column, fields: Column) -> Column:
+        def way(step: int) -> Column:
+            cells = F.transform(fields, lambda f, i: F.struct(f.alias("field"), F.trim(F.get(ts, i + step)).alias("value")))
+            return first_cells(F.filter(cells, lambda c: c["field"].isNotNull() & c["value"].isNotNull() & (c["value"] != "") & name(c["value"]).isNull() & ~trap(c["value"])))
+
+        best = lambda r: F.when((F.size(r["above"]) == 0) | ((F.size(r["below"]) > 0) & (F.size(F.filter(r["below"], fits)) >= F.size(F.filter(r["above"], fits)))), r["below"]).otherwise(r["above"])
+        return bind(F.struct(way(1).alias("below"), way(-1).alias("above")), best)
+
+    return bind(texts, lambda ts: bind(F.transform(ts, lambda t: name(F.trim(t))), lambda fields: F.when(F.exists(fields, lambda f: f.isNotNull()), read(ts, fields)).otherwise(none)))
+
+
+def first_cells(cells: Column, key: str = "field") -> Column:
+    """An array of structs without those whose key came before."""
+    return bind(cells, lambda cs: bind(F.transform(cs, lambda c: c[key]), lambda ks: F.filter(cs, lambda c, i: F.array_position(ks, c[key]) == i + 1)))
+
+
 def page_types(titled: DataFrame, rules: list[tuple[str, str]], text: str = "title", rest: str = "untyped") -> DataFrame:
     """Add page_type: the first rule (pattern, type) that matches."""
     kind = F.lit(rest)

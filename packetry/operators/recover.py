@@ -38,43 +38,61 @@ def _one_of(values: list[str]) -> str:
     return "(" + "|".join(sorted(values, key=len, reverse=True)) + ")"
 
 
-def _visa(c: Column, visas: list[str]) -> Column:
+def visa_of(c: Column, visas: list[str]) -> Column:
     return _some(F.regexp_extract(visa_normalize(c), rf"\b{_one_of(visas)}\b", 1))
 
 
-def fuzzy_inline_fields(lines: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """(packet, page, field, value) of "label value" lines; labels: letters of a label to its field, long ones also within 30 percent."""
-    label, value = _label_value(F.col("text"))
+def inline_cell(c: Column, labels: dict[str, str]) -> Column:
+    """struct(field, value) of a "label value" line, null if it tells none; labels: letters of a label to its field, long ones also within 30 percent."""
     names = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
-    rows = lines.select("packet", "page", "line_no", canon(label).alias("key"), value.alias("value")).where("value <> ''")
-    near = F.when(F.length("key") >= 6, vocabulary_correct(F.col("key"), list(labels), 0.3))
-    rows = rows.withColumn("field", F.coalesce(F.try_element_at(names, F.col("key")), F.try_element_at(names, near)))
-    rows = rows.where(F.col("field").isNotNull() & ~damaged(F.col("value"))).withColumn("value", strip(F.regexp_replace("value", IMAGE, "")))
-    return rows.where("value <> ''").groupBy("packet", "page", "field").agg(F.min_by("value", "line_no").alias("value"))
 
+    def cell(x: Column) -> Column:
+        near = F.when(F.length(x["key"]) >= 6, vocabulary_correct(x["key"], list(labels), 0.3))
+        value = F.when(x["value"].contains("IMAGE"), strip(F.regexp_replace(x["value"], IMAGE, ""))).otherwise(x["value"])
+        told = bind(value, lambda v: F.when((v != "") & ~damaged(x["value"]), v))
+        field = F.coalesce(F.try_element_at(names, x["key"]), F.try_element_at(names, near))
+        return bind(F.when(x["value"] != "", field), lambda f: F.when(f.isNotNull(), bind(told, lambda v: F.when(v.isNotNull(), F.struct(f.alias("field"), v.alias("value"))))))
 
-def pattern_sweep(lines: DataFrame, visas: list[str], vocabularies: dict[str, list[str]]) -> DataFrame:
-    """(packet, page, field, value) of values known by their shape alone: sponsor, calendar date, visa class, words of a vocabulary."""
-    text = F.col("text")
+    label, value = _label_value(c)
+    return bind(F.struct(canon(label).alias("key"), value.alias("value")), cell)
+
+
+def fuzzy_inline_fields(lines: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """(packet, page, field, value) of "label value" lines by inline_cell()."""
+    rows = lines.select("packet", "page", "line_no", inline_cell(F.col("text"), labels).alias("x")).where("x is not null")
+    return rows.groupBy("packet", "page", F.col("x.field").alias("field")).agg(F.min_by("x.value", "line_no").alias("value"))
+
+
+def swept_cells(text: Column, visas: list[str], vocabularies: dict[str, list[str]]) -> Column:
+    """Array of struct(field, value) of what a line tells by its shape alone, null where it tells nothing of a field."""
     at = F.locate(":", text)
     tail = strip(F.when(at > 0, F.substr(text, at + 1)).otherwise(text))
     date = find_date(text)
-    found = {"sponsor_id": find_sponsor(text), "arrival_date": F.when(valid_iso_date(date), date), "visa_class": _visa(text, visas)}
-    found |= {f: F.when(_visa(tail, visas).isNull(), vocabulary_correct(tail, v, 0.25)) for f, v in vocabularies.items()}
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), c.alias("value")) for f, c in found.items()])
-    rows = lines.where(text.isNotNull() & ~damaged(text)).select("packet", "page", "line_no", F.inline(cells)).where("value is not null")
+    found = {"sponsor_id": find_sponsor(text), "arrival_date": F.when(valid_iso_date(date), date), "visa_class": visa_of(text, visas)}
+    found |= {f: F.when(visa_of(tail, visas).isNull(), vocabulary_correct(tail, v, 0.25)) for f, v in vocabularies.items()}
+    return F.array(*[F.struct(F.lit(f).alias("field"), c.alias("value")) for f, c in found.items()])
+
+
+def pattern_sweep(lines: DataFrame, visas: list[str], vocabularies: dict[str, list[str]]) -> DataFrame:
+    """(packet, page, field, value) of values known by their shape alone: sponsor, calendar date, visa class, words of a vocabulary."""
+    text = F.col("text")
+    rows = lines.where(text.isNotNull() & ~damaged(text)).select("packet", "page", "line_no", F.inline(swept_cells(text, visas, vocabularies))).where("value is not null")
     return rows.groupBy("packet", "page", "field").agg(F.min_by("value", "line_no").alias("value"))
 
 
-def garbled_flags(lines: DataFrame, flags: list[str]) -> DataFrame:
-    """(packet, page, flags) of the first line with a label like "observed flags" (45 percent of edits) that yields any, else none."""
-    label, value = _label_value(F.col("text"))
+def garbled_line(c: Column, flags: list[str]) -> Column:
+    """Pipe list of the flags of a line with a label like "observed flags" (45 percent of edits); null if it yields none."""
+    label, value = _label_value(c)
     k, size = canon(label), len(FLAG_LABEL)
     like = bind(k, lambda k: (k != "") & (F.abs(F.length(k) - size) <= 5) & (F.levenshtein(k, F.lit(FLAG_LABEL), int(size * 0.45)) >= 0))
     tokens = F.filter(F.split(value, "[|,;]"), lambda t: (F.trim(t) != "") & ~canon(t).isin(*NO_FLAG_WORDS))
     hits = F.array_compact(F.transform(tokens, lambda t: vocabulary_correct(F.trim(t), flags, 0.5)))
-    joined = F.when(like, bind(F.array_join(F.array_sort(F.array_distinct(hits)), "|"), _some))
-    rows = lines.select("packet", "page", "line_no", joined.alias("found"))
+    return F.when(like, bind(F.array_join(F.array_sort(F.array_distinct(hits)), "|"), _some))
+
+
+def garbled_flags(lines: DataFrame, flags: list[str]) -> DataFrame:
+    """(packet, page, flags) of the first line with a label like "observed flags" (45 percent of edits) that yields any, else none."""
+    rows = lines.select("packet", "page", "line_no", garbled_line(F.col("text"), flags).alias("found"))
     first = F.min_by("found", F.when(F.col("found").isNotNull(), F.col("line_no")))
     return rows.groupBy("packet", "page").agg(F.coalesce(first, F.lit("none")).alias("flags"))
 
@@ -110,22 +128,33 @@ def sponsor_letters(lines: DataFrame, labels: dict[str, str], visas: list[str])
     return letter_readings(lines, labels, visas).select("packet", "page", "sponsor_id", either("name"), either("purpose"), either("visa"), "compliance_visa")
 
 
+def letter_prose(text: Column, visas: list[str]) -> dict[str, Column]:
+    """What the prose of a sponsor letter says."""
+    take = lambda c, pattern: _some(F.trim(F.regexp_extract(c, pattern, 1)))
+    visa = rf"class\s+{_one_of(visas)}"
+    return {
+        "sponsor_id": find_sponsor(text), "name": take(text, "attests that (.+?) is expected"), "purpose": take(F.translate(text, "\n", " "), r"on Earth for (.+?)\."),
+        "visa": take(text, visa), "compliance_visa": take(text, rf"{visa}\s+compliance"),
+    }
+
+
+def bare_purpose(c: Column) -> Column:
+    """Value of a "Purpose: value" line."""
+    label, value = _label_value(c)
+    return F.when(c.contains(":"), F.when(canon(label) == "purpose", bind(value, lambda x: F.when((x != "") & ~damaged(x), x))))
+
+
 def letter_readings(lines: DataFrame, labels: dict[str, str], visas: list[str]) -> DataFrame:
     """Sponsor letters with what their prose says (name, purpose, visa) apart from what labelled lines say (i_name, i_purpose, i_visa)."""
-    text, one = F.col("text"), _one_of(visas)
-    take = lambda c, pattern: _some(F.trim(F.regexp_extract(c, pattern, 1)))
+    text = F.col("text")
     pages = _pages(lines).where(text.contains("Sponsor Attestation") | text.contains("attests that"))
-    prose = pages.select(
-        "packet", "page", find_sponsor(text).alias("sponsor_id"), take(text, "attests that (.+?) is expected").alias("name"),
-        take(F.translate(text, "\n", " "), r"on Earth for (.+?)\.").alias("purpose"), take(text, rf"class\s+{one}").alias("visa"), take(text, rf"class\s+{one}\s+compliance").alias("compliance_visa"),
-    )
+    prose = pages.select("packet", "page", *[c.alias(f) for f, c in letter_prose(text, visas).items()])
     field = lambda f: F.max(F.when(F.col("field") == f, F.col("value")))
     inline = fuzzy_inline_fields(lines, labels).groupBy("packet", "page").agg(field("applicant_name").alias("i_name"), field("declared_purpose").alias("i_purpose"), field("visa_class").alias("i_visa"))
-    label, value = _label_value(text)
-    bare = lines.where(text.contains(":")).select("packet", "page", "line_no", canon(label).alias("key"), value.alias("value")).where((F.col("key") == "purpose") & (F.col("value") != "") & ~damaged(F.col("value")))
+    bare = lines.select("packet", "page", "line_no", bare_purpose(text).alias("value")).where("value is not null")
     bare = bare.groupBy("packet", "page").agg(F.min_by("value", "line_no").alias("b_purpose"))
     rows = prose.join(inline, ["packet", "page"], "left").join(bare, ["packet", "page"], "left")
-    return rows.select("packet", "page", "sponsor_id", "name", "purpose", "visa", "compliance_visa", "i_name", F.coalesce("i_purpose", "b_purpose").alias("i_purpose"), _visa(F.col("i_visa"), visas).alias("i_visa"))
+    return rows.select("packet", "page", "sponsor_id", "name", "purpose", "visa", "compliance_visa", "i_name", F.coalesce("i_purpose", "b_purpose").alias("i_purpose"), visa_of(F.col("i_visa"), visas).alias("i_visa"))
 
 
 def finding(c: Column, families: list[tuple[list[str], str]] = ()) -> Column:
