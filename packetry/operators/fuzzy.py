@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ NOTE_LABELS = ("adjudicator", "finding")
 ANCHOR_WORDS = ("observed", "flags", "biometric")
 #: Entries of a vocabulary that a plan may hold; larger ones are refused.
 MAX_VOCABULARY = 5000
+#: Up to so many entries a value is first searched for their pieces.
+FEW = 64
 
 
 def _c(s: str) -> str:
@@ -26,35 +30,51 @@ def _f(s: str) -> str:
     return s.replace("rn", "m").translate(str.maketrans("0158q", "olsbo"))
 
 
-def _sql(x: str | int) -> str:
-    return str(x) if isinstance(x, int) else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _pieces(token: str, cap: int) -> list[str]:
+    """cap + 1 pieces of a token; what is within cap edits of it holds one of them unharmed."""
+    at = [len(token) * i // (cap + 1) for i in range(cap + 2)]
+    return [token[a:b] for a, b in zip(at, at[1:])]
+
+
+def _literal(value, kind: str) -> Column:
+    """A list or map as one text that is folded to a literal, so that a plan is as small for many entries as for few."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def _entries(rows: list[tuple], names: str) -> Column:
     """A closed list as one literal array of structs, so that a plan grows with what is asked of an entry and not with their number."""
-    return F.expr(f"array({', '.join('named_struct(' + ', '.join(f'{_sql(n)}, {_sql(x)}' for n, x in zip(names.split(), r)) + ')' for r in rows)})")
+    kinds = ", ".join(f"{n}: {'int' if isinstance(x, int) else 'string'}" for n, x in zip(names.split(), rows[0]))
+    return _literal([dict(zip(names.split(), r)) for r in rows], f"array<struct<{kinds}>>")
 
 
 def _exact(pairs: list[tuple[str, str]]) -> Column:
-    return F.expr(f"map({', '.join(_sql(x) for pair in pairs for x in pair)})")
+    return _literal(dict(pairs), "map<string,string>")
+
+
+def one_of(c: Column, values: list[str]) -> Column:
+    """isin() over a closed list of any size."""
+    return F.array_contains(_literal(list(values), "array<string>"), c)
 
 
 def vocabulary_correct(c: Column, vocabulary: list[str], max_ratio: float = 0.34) -> Column:
     """The one entry nearest to a value over plain or scan-folded letters, within max_ratio of its length; null if none or tied."""
     if not vocabulary:
         return F.lit(None).cast("string")
-    entries = _entries([(_c(v), _f(_c(v)), max(1, int(len(_c(v)) * max_ratio)), v) for v in vocabulary], "plain folded cap v")
+    rows = [(p := _c(v), f := _f(p), cap := max(1, int(len(p) * max_ratio)), min(len(p), len(f)) - cap, max(len(p), len(f)) + cap, v) for v in vocabulary]
+    entries = _entries(rows, "plain folded cap lo hi v")
+    whole = all(len(x) > r[2] for r in rows for x in r[:2])
+    pieces = {name: "|".join(sorted({x for r in rows for x in _pieces(r[i], r[2])})) for i, name in ((0, "plain"), (1, "folded"))} if whole and len(rows) <= FEW else None
 
     def nearest(plain: Column, folded: Column) -> Column:
-        def near(e: Column) -> Column:  # more letters too many or too few than edits are allowed: no need to compare
-            return F.least(*[F.abs(F.length(k) - F.length(e[name])) for k, name in ((plain, "plain"), (folded, "folded"))]) <= e["cap"]
-
         def cost(e: Column) -> Column:
             ds = [F.call_function("levenshtein", k, e[name], e["cap"]) for k, name in ((plain, "plain"), (folded, "folded"))]
             return F.struct(F.least(*[F.when(x >= 0, x).otherwise(99) for x in ds]).alias("d"), e["v"].alias("v"))
 
-        ranked = F.sort_array(F.filter(F.transform(F.filter(entries, near), cost), lambda s: s["d"] < 99))
-        return bind(ranked, lambda r: F.when(F.get(r, F.lit(1)).isNull() | (F.get(r, F.lit(1))["d"] > F.get(r, F.lit(0))["d"]), F.get(r, F.lit(0))["v"]))
+        # Entries with more letters too many or too few than edits are allowed need no comparison.
+        near = bind(F.struct(F.length(plain).alias("most"), F.length(folded).alias("least")), lambda n: F.filter(entries, lambda e: (n["most"] >= e["lo"]) & (n["least"] <= e["hi"])))
+        ranked = F.sort_array(F.filter(F.transform(near, cost), lambda s: s["d"] < 99))
+        best = bind(ranked, lambda r: F.when(F.get(r, F.lit(1)).isNull() | (F.get(r, F.lit(1))["d"] > F.get(r, F.lit(0))["d"]), F.get(r, F.lit(0))["v"]))
+        return F.when(plain.rlike(pieces["plain"]) | folded.rlike(pieces["folded"]), best) if pieces else best
 
     return bind(canon(c), lambda k: F.when(k != "", bind(ocr_fold(k), lambda folded: nearest(k, folded))))
 
@@ -64,7 +84,7 @@ def correct_field(c: Column, vocabulary: list[str], strict: bool = False, max_ra
 
     A guarded entry is taken only within one edit of the scan-folded letters.
     """
-    exact = _exact([(_c(v), v) for v in vocabulary])
+    exact = _exact([(_c(v), v) for v in sorted(vocabulary, reverse=True)])  # of entries with the same letters the first by name
 
     def fixed(x: Column) -> Column:
         near = vocabulary_correct(x, vocabulary, max_ratio)
@@ -98,10 +118,11 @@ def token_nearest(c: Column, vocabulary: list[str], reach: int = 2) -> Column:
 
 def damaged(c: Column) -> Column:
     """A value that tells of its own destruction: brackets, damage words, or a damage phrase within two edits."""
-    phrases = F.expr(f"array({', '.join(_sql(_c(p)) for p in DAMAGE_PHRASES)})")
+    phrases = _literal([_c(p) for p in DAMAGE_PHRASES], "array<string>")
     least, most = (f(len(_c(p)) for p in DAMAGE_PHRASES) for f in (min, max))
-    phrase = lambda k: F.length(k).between(least - 2, most + 2) & F.exists(phrases, lambda p: F.levenshtein(k, p, 2) >= 0)
-    told = lambda t: t.startswith("[") | t.endswith("]") | t.rlike(DAMAGE_WORDS) | F.exists(F.array(canon(t)), phrase)
+    pieces = "|".join(sorted({x for p in DAMAGE_PHRASES for x in _pieces(_c(p), 2)}))
+    phrase = lambda k: F.length(k).between(least - 2, most + 2) & k.rlike(pieces) & F.exists(phrases, lambda p: F.levenshtein(k, p, 2) >= 0)
+    told = lambda t: t.startswith("[") | t.endswith("]") | t.rlike(DAMAGE_WORDS) | ((F.length(t) >= least - 2) & F.exists(F.array(canon(t)), phrase))
     return F.coalesce(F.exists(F.array(F.trim(c)), told), F.lit(False))
 
 
@@ -113,8 +134,7 @@ def placeholder(c: Column) -> Column:
 
 def _within(token: str, cap: int):
     """Test of a string against token within cap edits; one of cap + 1 pieces must be in it unharmed, which is checked first."""
-    at = [len(token) * i // (cap + 1) for i in range(cap + 2)]
-    pieces = "|".join(token[a:b] for a, b in zip(at, at[1:]))
+    pieces = "|".join(_pieces(token, cap))
     return lambda w: w.rlike(pieces) & (F.levenshtein(w, F.lit(token), cap) >= 0)
 
 
@@ -150,7 +170,7 @@ def label_line_value(c: Column, first: str = "observed", second: str = "flags")
 
 def contained_flags(c: Column, flags: list[str]) -> Column:
     """Known flags that stand anywhere in a text, blanks and underscores alike, sorted."""
-    found = lambda t: F.filter(F.array(*[F.lit(f) for f in sorted(flags)]), lambda f: t.contains(f))
+    found = lambda t: F.filter(_literal(sorted(flags), "array<string>"), lambda f: t.contains(f))
     joined = lambda k: F.when(F.size(k) == 0, "none").otherwise(F.array_join(k, "|"))
     return bind(F.regexp_replace(F.lower(c), r"[\s_]+", "_"), lambda t: F.when(t.isNull(), "none").otherwise(bind(found(t), joined)))
 
@@ -162,7 +182,7 @@ def correct_flag_tokens(c: Column, flags: list[str], strict: bool = False) -> Co
     def one(t: Column) -> Column:
         t = F.trim(t)
         kept = F.when(t.rlike("^[a-z]+(_[a-z]+)+$"), t) if strict else F.lit(None).cast("string")
-        return F.coalesce(F.when(t.isin(*flags), t), vocabulary_correct(t, flags, 0.5), kept)
+        return F.coalesce(F.when(one_of(t, flags), t), vocabulary_correct(t, flags, 0.5), kept)
 
     kept = F.array_sort(F.array_distinct(F.filter(F.transform(tokens, one), lambda x: x.isNotNull())))
     return bind(kept, lambda k: F.when(k.isNull() | (F.size(k) == 0), "none").otherwise(F.array_join(k, "|")))

@@ -155,7 +155,7 @@ def vertical_fields(lines: DataFrame, labels: dict[str, str], typed: dict[str, s
 def stacked_cells(texts: Column, labels: dict[str, str], typed: dict[str, str], trap: Callable[[Column], Column]) -> Column:
     """Array of struct(field, value) of the texts of one page in order, an array, by the rule of vertical_fields()."""
     names = F.create_map(*[x for label, field in labels.items() for x in (F.lit(label), F.lit(field))])
-    name = lambda t: F.try_element_at(names, F.regexp_replace(t, ":+$", ""))
+    name = lambda t: F.try_element_at(names, F.when(t.endswith(":"), F.regexp_replace(t, ":+$", "")).otherwise(t))
     none = F.array().cast("array<struct<field:string,value:string>>")
 
     def fits(c: Column) -> Column:

@@ -366,7 +366,7 @@ def read(packets: DataFrame, v: Vocabulary) -> DataFrame:
     rows = rows.withColumns({"fee_correction": blank(fee_fix), "fee_observed": F.col("fee_status").isNotNull() | fee_fix.isNotNull(), "fee_status": F.coalesce(fee_fix, "fee_status", F.lit("unknown"))})
     whole = lambda cs: F.filter(F.array(*cs), lambda c: (F.coalesce(c, F.lit("")) != "") & ~fuzzy.damaged(c))
     named = whole([e("intake", "applicant_name"), e("registry", "applicant_name"), slip_name])
-    kind = lambda c: bind(fuzzy.correct_field(F.when(fuzzy.damaged(c), None).otherwise(c), v.species), lambda k: F.when(k.isin(*v.species), F.upper(k)))
+    kind = lambda c: bind(fuzzy.correct_field(F.when(fuzzy.damaged(c), None).otherwise(c), v.species), lambda k: F.when(fuzzy.one_of(k, v.species), F.upper(k)))
     kinds = F.transform(F.array(e("intake", "species_code"), e("registry", "species_code"), e("biometric", "species_code")), kind) if v.species else F.array()
     two_kinds = F.size(F.array_distinct(F.array_compact(kinds))) > 1 if v.species else F.lit(False)
     rows = rows.withColumn("identity_conflict", F.coalesce(consolidate.names_conflict(named), F.lit(False)) | two_kinds)
